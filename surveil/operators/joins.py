@@ -129,27 +129,34 @@ def densify(df: DataFrame, full_grid: DataFrame, keys: Sequence[str], zero: Sequ
 
 
 def interval_match(
-    df: DataFrame, case: Sequence[str], day: str, is_a: Column, is_b: Column, days: int = 31, as_written: bool = False
+    df: DataFrame,
+    case: Sequence[str],
+    day: str,
+    is_a: Column,
+    is_b: Column,
+    days: int = 31,
+    as_written: bool = False,
+    or_if: Column | None = None,
 ) -> DataFrame:
-    """Cases with an A and a B specimen at most ``days`` apart.
+    """Cases with an A and a B specimen at most ``days`` apart, or any row with ``or_if``.
 
     Specimens are first reduced to one row per case and day. Then the nearest earlier day
     of the other kind decides, so no pairs are formed and a case holds at most one row
     per calendar day. As written, any case with a dated A and any B matches.
     """
     if as_written:
-        seen = df.groupBy(*case).agg(
-            F.max(is_a & F.col(day).isNotNull()).alias("a"), F.max(is_b).alias("b")
-        )
+        seen = df.groupBy(*case).agg(F.max(is_a & F.col(day).isNotNull()).alias("a"), F.max(is_b).alias("b"))
         return seen.filter("a and b").select(*case)
-    per_day = (
-        df.filter((is_a | is_b) & F.col(day).isNotNull())
-        .groupBy(*case, day)
-        .agg(F.max(is_a).alias("a"), F.max(is_b).alias("b"))
+    other = F.lit(False) if or_if is None else or_if
+    per_day = df.groupBy(*case, day).agg(
+        F.max(is_a).alias("a"), F.max(is_b).alias("b"), F.max(other).alias("other")
     )
     so_far = Window.partitionBy(*case).orderBy(day).rowsBetween(Window.unboundedPreceding, 0)
     last = {k: F.max(F.when(F.col(k), F.col(day))).over(so_far) for k in ("a", "b")}
-    near = per_day.withColumns({"last_a": last["a"], "last_b": last["b"]}).filter(
-        (F.col("a") & (F.datediff(day, "last_b") <= days)) | (F.col("b") & (F.datediff(day, "last_a") <= days))
+    near = (F.col("a") & (F.datediff(day, "last_b") <= days)) | (F.col("b") & (F.datediff(day, "last_a") <= days))
+    return (
+        per_day.withColumns({"last_a": last["a"], "last_b": last["b"]})
+        .filter(near | F.col("other"))
+        .select(*case)
+        .distinct()
     )
-    return near.select(*case).distinct()

@@ -15,7 +15,7 @@ from surveil.operators.aggregates import count_rows, month_counts, rows
 from surveil.operators.joins import (
     attach_typing, cases_labs, cases_labs_totals, interval_match, member_flag, skew_join,
 )
-from surveil.operators.setops import union_by_name, union_distinct
+from surveil.operators.setops import union_by_name
 from surveil.operators.windows import cumulative_count
 
 CASE = ("party_id", "case_id")
@@ -103,7 +103,7 @@ def positives_by_test(records: DataFrame) -> DataFrame:
 
 def typed(records: DataFrame, as_written: bool = False) -> DataFrame:
     """Positive RNA and culture records with type, subtype and reporting category."""
-    found = positives(records).filter(F.col("test_group").isin("RNA", "Culture"))
+    found = positives(records.filter(F.col("test").isin([*codes.FLU_RNA, *codes.FLU_CULTURE])))
     return found.withColumns({"flu_type": flu_type(), "subtype": flu_subtype()}).withColumn(
         "report_category", report_category(as_written)
     )
@@ -125,9 +125,16 @@ def coinfections_by_comment(typed_rows: DataFrame) -> DataFrame:
 
 
 def coinfections(typed_rows: DataFrame, days: int = 31, as_written: bool = False) -> DataFrame:
-    """Co-infected cases by date or by comment, once each; as written, once per finding."""
-    found = (coinfections_by_date(typed_rows, days, as_written), coinfections_by_comment(typed_rows))
-    return union_by_name(*found) if as_written else union_distinct(*found)
+    """Co-infected cases by date or by comment, once each; as written, once per finding.
+
+    Both findings come from one aggregate over the typed rows.
+    """
+    if as_written:
+        return union_by_name(
+            coinfections_by_date(typed_rows, days, as_written=True), coinfections_by_comment(typed_rows)
+        )
+    a, b = F.col("flu_type") == "Flu A", F.col("flu_type") == "Flu B"
+    return interval_match(typed_rows, CASE, "specimen_date", a, b, days, or_if=comment_coinfection())
 
 
 def recode_coinfections(typed_rows: DataFrame, found: DataFrame, as_written: bool = False) -> DataFrame:
