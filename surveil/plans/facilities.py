@@ -17,6 +17,7 @@ from surveil.functions.periods import lag_days, mmwr_day, mmwr_week, mmwr_year,
 from surveil.functions.rules import any_flag, lag_flag, silence_flag, volume_flag
 from surveil.operators.aggregates import first_per_key, rows
 from surveil.operators.joins import attach_scalar_of
+from surveil.operators.windows import rolling_mean, rolling_sd
 
 FACILITY = ["facility_clean", "reporting_clean", "disease"]
 WEEK = [*FACILITY, "week_ending"]
@@ -48,6 +49,13 @@ def lab_rows(feeds: DataFrame) -> DataFrame:
     )
 
 
+def _sums() -> list[Column]:
+    """Sums of the partial sums."""
+    sums = [F.sum(c).alias(c) for c in ("n", "n_lag", "sum_lag", "n_date")]
+    squares = F.sum(F.col("sq_lag").cast("decimal(24,0)")).cast("decimal(24,0)").alias("sq_lag")
+    return [*sums, squares, F.max("max_lag").alias("max_lag"), F.max("max_date").alias("max_date")]
+
+
 def weekly_base(feeds: DataFrame) -> DataFrame:
     """Counts and lag sums per facility, week and the attributes that a report row shows."""
     lag = F.col("lag_days")
@@ -74,7 +82,7 @@ def _facility_stats(null_mode: str) -> dict[str, Column]:
         return agg.over(w)
 
     n, s = over(F.sum("n_lag")), over(F.sum("sum_lag"))
-    squares = over(F.sum(F.col("sq_lag").cast("decimal(38,0)")))
+    squares = over(F.sum("sq_lag"))
     # n * sum(x^2) - (sum x)^2 in decimals, so nothing cancels however large the sums are.
     total = s.cast("decimal(18,0)")
     spread = n.cast("decimal(13,0)") * squares.cast("decimal(24,0)") - total * total
@@ -96,58 +104,44 @@ def _facility_stats(null_mode: str) -> dict[str, Column]:
 def weekly_statistics(
     feeds: DataFrame, order: str = "desc", include_year: bool = True, null_mode: str = "skip", weeks: int = 4
 ) -> DataFrame:
-    """Statistics and flags per facility, week and final facility name.
+    """Statistics and flags, one row per facility, reporter, disease and week.
 
-    The final name differs from the facility only where the facility is unknown: then the
-    reporter or the sender stands in, and a week may have several rows, of which
-    ``is_first_of_week`` marks one.
+    ``shown`` lists the attribute rows of the week, one per final facility name. That name
+    differs from the facility only where the facility is unknown and the reporter or the
+    sender stands in, so the list has one entry, or at most one per sender.
 
     ``order='desc'`` rolls over this week and the newer ones, as the report does; 'asc'
     gives a trailing mean. ``include_year=False`` adds up the same week of all years.
     """
-    named = weekly_base(feeds).withColumns(
-        {
-            "facility_name": first_known("facility_clean", "reporting_clean", "sending_facility"),
-            # The Saturday of a week lies in the week's own epidemiological year.
-            "mmwr_year": mmwr_year("week_ending"),
-            "mmwr_week": mmwr_week("week_ending"),
-        }
-    )
-    by_facility, by_week = Window.partitionBy(*FACILITY), Window.partitionBy(*WEEK)
-    same_week = by_week if include_year else Window.partitionBy(*FACILITY, "mmwr_week")
-    first_row = Window.partitionBy(*WEEK, "facility_name").orderBy(*TIE_BREAK)
-
-    # From the finest order to the coarsest, so one sort serves all of these windows.
-    shown = (
-        named.withColumn("__row", F.row_number().over(first_row))
-        .withColumn("labs_by_week", F.sum("n").over(same_week))
-        .withColumns(_facility_stats(null_mode))
-        .filter("__row = 1")
+    # One shuffle by facility serves the two aggregates and all windows below.
+    reduced = weekly_base(feeds).repartition(*FACILITY)
+    name = first_known("facility_clean", "reporting_clean", "sending_facility").alias("facility_name")
+    per_name = reduced.groupBy(*WEEK, name).agg(*_sums(), F.min(F.struct(*TIE_BREAK)).alias("first"))
+    per_week = per_name.groupBy(*WEEK).agg(
+        *_sums(), F.collect_list(F.struct("facility_name", "first.*")).alias("shown")
     )
-    # One count per week enters the rolling frame, which spans distinct weeks.
-    numbered = shown.withColumn(
-        "is_first_of_week", F.row_number().over(by_week.orderBy("facility_name")) == 1
-    ).withColumn("__k", F.dense_rank().over(by_facility.orderBy("week_ending")))
-    frame = by_facility.orderBy("__k").rangeBetween(*((0, weeks - 1) if order == "desc" else (1 - weeks, 0)))
-    volume = F.when(F.col("is_first_of_week"), F.col("labs_by_week"))
-    full = F.count(volume).over(frame) == weeks
-    rolled = numbered.withColumns(
+    by_facility = Window.partitionBy(*FACILITY)
+    by_week = by_facility.orderBy(F.desc("week_ending") if order == "desc" else F.asc("week_ending"))
+    # The Saturday of a week lies in the week's own epidemiological year.
+    dated = per_week.withColumns({"mmwr_year": mmwr_year("week_ending"), "mmwr_week": mmwr_week("week_ending")})
+    volume = F.col("n") if include_year else F.sum("n").over(Window.partitionBy(*FACILITY, "mmwr_week"))
+    stats = dated.withColumn("labs_by_week", volume).withColumns(
         {
-            "rolling_mean": F.when(full, F.avg(volume).over(frame)),
-            "rolling_sd": F.when(full, F.stddev_samp(volume).over(frame)),
+            "rolling_mean": rolling_mean("labs_by_week", by_week, weeks),
+            "rolling_sd": rolling_sd("labs_by_week", by_week, weeks),
+            **_facility_stats(null_mode),
         }
     )
     # Two columns of the feeds, read apart: the reduced rows would be recomputed in full.
     sample = attach_scalar_of(
-        rolled,
+        stats,
         clean_rows(feeds).select("sending_date", "lag_days"),
         latest_sample_date=F.max("sending_date"),
         mean_sample_lag=F.avg("lag_days"),
     ).withColumn("days_since_last", F.datediff("latest_sample_date", "latest_facility_date"))
     return sample.select(
-        *WEEK, "facility_name", "is_first_of_week", *TIE_BREAK, "mmwr_year", "mmwr_week",
-        "latest_facility_date", "days_since_last", "average_lag", "max_lag", "sd_lag", "labs_by_week",
-        "rolling_mean", "rolling_sd",
+        *WEEK, "shown", "mmwr_year", "mmwr_week", "latest_facility_date", "days_since_last", "average_lag",
+        "max_lag", "sd_lag", "labs_by_week", "rolling_mean", "rolling_sd",
         volume_flag("labs_by_week", "rolling_mean", "rolling_sd", 1).alias(FLAGS[0]),
         volume_flag("labs_by_week", "rolling_mean", "rolling_sd", 2).alias(FLAGS[1]),
         silence_flag("days_since_last").alias(FLAGS[2]),
@@ -155,9 +149,10 @@ def weekly_statistics(
     )
 
 
-def _report_rows(feeds: DataFrame, **options) -> DataFrame:
-    rows_ = weekly_statistics(feeds, **options)
-    return rows_.withColumn("facility_clean", F.col("facility_name")).drop("facility_name", "is_first_of_week")
+def _report_rows(weekly: DataFrame) -> DataFrame:
+    """The statistics under each final facility name of the week, with its first row."""
+    keep = [c for c in weekly.columns if c not in ("shown", "facility_clean")]
+    return weekly.select(F.inline("shown"), *keep).withColumnRenamed("facility_name", "facility_clean")
 
 
 def facility_aggregate(feeds: DataFrame, **options) -> DataFrame:
@@ -167,12 +162,12 @@ def facility_aggregate(feeds: DataFrame, **options) -> DataFrame:
     ``TIE_BREAK``. A name that stands in for an unknown facility may meet a real facility
     of that name; then, too, the first row is kept.
     """
-    return first_per_key(_report_rows(feeds, **options), WEEK, TIE_BREAK).drop("abnormal_lag")
+    return first_per_key(_report_rows(weekly_statistics(feeds, **options)), WEEK, TIE_BREAK).drop("abnormal_lag")
 
 
 def flagged_facilities(feeds: DataFrame, **options) -> DataFrame:
     """Facilities with a flag: their newest flagged row, once per facility and reporter."""
-    flagged = _report_rows(feeds, **options).filter(any_flag(*FLAGS))
+    flagged = _report_rows(weekly_statistics(feeds, **options).filter(any_flag(*FLAGS)))
     order = [F.desc("week_ending"), F.asc("disease"), *TIE_BREAK]
     return first_per_key(flagged, FACILITY[:2], order).drop("latest_facility_date", "average_lag", "sd_lag")
 

@@ -17,7 +17,7 @@ from surveil.functions.nulls import is_in, null_to_zero, pct_from_text, safe_pct
 from surveil.functions.rules import meets_target
 from surveil.functions.text import composite_key, count_label, split_parts, year_label
 from surveil.operators.aggregates import incorrect_counts, rows
-from surveil.operators.joins import densify, member_flag, skew_join
+from surveil.operators.joins import densify, skew_join
 from surveil.operators.reshape import (
     ROW, SHEET, drop_first_n, header_cells, header_fallback, pivot_long, pivot_wide, repair_header,
 )
@@ -102,6 +102,24 @@ def pass_rates_from_sheets(sheets: DataFrame, header_rows: int, **header: tuple[
     )
 
 
+def completeness_from_sheets(sheets: DataFrame, names: Sequence[str], skip: int) -> DataFrame:
+    """Printed sheets with one row per quarter, keyed '2023-2', under ``skip`` header rows.
+
+    ``names`` names the cells by position; ``region`` and ``year_qrtr`` stay text, ``n`` is
+    a count and all others are shares.
+    """
+    body = repair_header(sheets, names, skip)
+    year, quarter = split_parts("year_qrtr", 2)
+    shares = [c for c in names if c not in ("region", "year_qrtr", "n")]
+    return body.select(
+        *[c for c in ("region",) if c in names],
+        year.try_cast("int").alias("year"),
+        quarter.try_cast("int").alias("quarter"),
+        to_number("n").cast("bigint").alias("n"),
+        *[to_number(c).alias(c) for c in shares],
+    )
+
+
 def timeliness_from_sheets(
     sheets: DataFrame, names: Sequence[str], skip: int, keys: Sequence[str], header_row: int | None = None
 ) -> DataFrame:
@@ -150,9 +168,7 @@ def classification_rate_as_written(
     cells: DataFrame, incorrect: DataFrame, keys: Sequence[str], years: Sequence[int]
 ) -> DataFrame:
     """As above without summing first: one row per matching region of ``incorrect``."""
-    listed = incorrect.select(*keys, "n_incorrect")
-    flagged = member_flag(cells, listed, keys, "__listed")
-    return _with_rate(skew_join(flagged, listed, keys, "left").drop("__listed"), years)
+    return _with_rate(skew_join(cells, incorrect.select(*keys, "n_incorrect"), keys, "left"), years)
 
 
 def _with_rate(df: DataFrame, years: Sequence[int]) -> DataFrame:

@@ -35,21 +35,22 @@ def write_period_extracts(df: DataFrame, base: str, day: str) -> None:
     parted.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(base)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that survives quotes, separators and line breaks in free text.
+# One set of options for both directions: every value quoted, quotes doubled, white space
+# kept, and null told from empty text.
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
-    Every value is quoted, quotes are doubled, and null is told from empty text.
-    """
-    df.write.mode("overwrite").csv(
-        path, header=True, quoteAll=True, quote='"', escape='"', nullValue="\\N", emptyValue=""
-    )
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV that survives quotes, separators and line breaks in free text."""
+    df.write.mode("overwrite").options(quoteAll=True, **CSV_OPTIONS).csv(path)
 
 
-def read_csv(spark, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Counterpart of ``write_csv``."""
-    return spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, quote='"', escape='"', nullValue="\\N", emptyValue=""
-    )
+    return spark.read.schema(schema).options(multiLine=True, **CSV_OPTIONS).csv(path)
 
 
 def report_name(prefix: str, as_of: date, year_week: tuple[int, int] | None = None) -> str:

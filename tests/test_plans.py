@@ -1,0 +1,292 @@
+import math
+import statistics
+from collections import defaultdict
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from surveil.functions import codes
+from surveil.functions.periods import ReportPeriod
+from surveil.operators import joins
+from surveil.plans import covid, facilities, indicators, influenza
+
+RNA, AG, AB = codes.COVID_RNA[0], codes.COVID_AG[0], codes.COVID_AB[0]
+
+
+# ---- COVID-19 ------------------------------------------------------------------------
+
+def covid_report(spark, labs, **options):
+    schema = "patient_id string, lab_date date, disease_status string, test string, result string, result_value string"
+    df = spark.createDataFrame([(p, date(2024, 2, 10), s, t, r, v) for p, s, t, r, v in labs], schema)
+    ids = sorted({row[0] for row in labs if row[0]})
+    cases = spark.createDataFrame([(i, "c", "No", None, "Here") for i in ids],
+                                  "patient_id string, county string, case_closed string, notification_status string, state string")
+    return covid.classification_report(df, cases, **options)
+
+
+def test_covid_classification(spark):
+    labs = [
+        ("e5", "Confirmed", RNA, "Positive", None), ("e6", "Probable", RNA, "Positive", None),
+        ("e7", "Probable", AG, "Positive", None), ("e7", "Probable", AB, "Positive", None),
+        ("e8", "Suspect", AB, "Reactive", None), ("e9", None, RNA, "Negative", "neg"),
+        ("e10", None, RNA, "Positive", None), ("e12", "Suspect", RNA, None, None),
+        ("gone", "Suspect", "Whole genome sequencing", "Positive", None), (None, "Suspect", RNA, "Positive", None),
+    ]
+    out = {(r.patient_id, r.test): r for r in covid_report(spark, labs).collect()}
+    qc = {k[0]: r.classification_qc for k, r in out.items()}
+    assert qc == {"e5": "Pass", "e6": "Fail", "e7": "Pass", "e8": "Pass", "e9": "Fail", "e10": None, "e12": "Pass"}
+    assert (out["e7", AG].total_tests, out["e7", AG].total_ag, out["e7", AG].total_ab) == (2, 1, 1)
+    assert out["e12", RNA].rna_positive == 0
+
+
+def test_covid_period_state_and_written_code_list(spark, rows):
+    labs = [("a", "Confirmed", codes.COVID_RNA_UNLISTED, "Positive", None), ("b", "Confirmed", RNA, "Positive", None)]
+    everyone = covid_report(spark, labs, period=ReportPeriod(date(2024, 3, 31)), state="Here")
+    assert rows(everyone, "patient_id") == [("a",), ("b",)]
+    assert rows(covid_report(spark, labs, as_written=True), "patient_id") == [("b",)]
+    assert covid_report(spark, labs, period=ReportPeriod(date(2024, 4, 30))).count() == 0
+    assert covid_report(spark, labs, state="Elsewhere").count() == 0
+
+
+# ---- influenza -----------------------------------------------------------------------
+
+A_TEST, B_TEST, AG_TEST = "FLUAV RNA XXX QL NAA+probe", "FLUBV NS gene Nph Ql NAA+probe", codes.FLU_AG[0]
+PERIOD = ReportPeriod(date(2024, 4, 10))
+
+
+def flu_inputs(spark, labs, cases):
+    lab_schema = ("case_id string, specimen_date date, test string, result string, result_value string, "
+                  "local_description string, comments string")
+    case_schema = ("case_id string, party_id string, event_date date, disease_status string, died string, "
+                   "case_closed string, notification_status string, state string")
+    df = spark.createDataFrame([(c, d, t, r, v, None, k) for c, d, t, r, v, k in labs], lab_schema)
+    known = [(c, f"p{c}", date(2024, 3, 1), *rest, "Here") for c, *rest in cases]
+    return df, spark.createDataFrame(known, case_schema)
+
+
+def test_flu_case_check(spark):
+    day = date(2024, 2, 20)
+    labs = [
+        ("e15", day, AG_TEST, "Positive", None, None), ("e16", day, AG_TEST, "Positive", None, None),
+        ("e17", day, A_TEST, "B Yamagata", None, None), ("e18", day, A_TEST, "Positive", None, None),
+        ("ok", day, A_TEST, "Negative", "Flu A", None), ("ok", day, AG_TEST, None, "Negative Influenza A", None),
+        ("null", day, A_TEST, "Positive", None, None),
+    ]
+    cases = [
+        ("e15", "Confirmed", None, "No", None), ("e16", "Confirmed", "Yes", "No", None),
+        ("e17", "Suspect", None, "No", None), ("e18", "Suspect", None, "Yes", None),
+        ("ok", "Confirmed", None, "No", None), ("null", None, None, "No", None),
+    ]
+    inputs = flu_inputs(spark, labs, cases)
+    out = influenza.case_check(*inputs, PERIOD, "Here")
+    qc = {r.case_id: r.final_qc for r in out.collect()}
+    assert qc == {"e15": "Fail", "e16": "Pass", "e17": "Fail", "e18": "Pass", "ok": "Pass", "null": None}
+    late = influenza.case_check(*inputs, PERIOD, "Here", stale_suspect=True)
+    assert {r.case_id: r.final_qc for r in late.collect()} == {**qc, "e18": "Fail"}
+    row = out.filter(F.col("case_id") == "ok").first()
+    assert (row.total_tests, row.rna_positives, row.ag_positives, row.time_lag) == (2, 1, 0, 10)
+    assert sorted(r.case_id for r in influenza.failed_cases(out).collect()) == ["e15", "e17"]
+    assert influenza.case_check(*inputs, PERIOD, "Elsewhere").count() == 0
+    assert influenza.case_check(*inputs, ReportPeriod(date(2023, 6, 1))).count() == 0
+
+
+@pytest.fixture
+def coinfected(spark):
+    d = date(2024, 1, 1)
+    labs = [
+        ("far", d, A_TEST, "Positive", None, None), ("far", d + timedelta(60), B_TEST, "Positive", None, None),
+        ("near", d, A_TEST, "Positive", None, None), ("near", d + timedelta(31), B_TEST, "Positive", None, None),
+        ("said", d, A_TEST, "Positive", None, "Flu A and B positive"), ("not", d, A_TEST, "Positive", None, "A and B negative"),
+        ("both", d, A_TEST, "Positive", None, "both found"), ("both", d, B_TEST, "Positive", None, "x"),
+    ]
+    cases = [(c, "Confirmed", None, "No", None) for c in ("far", "near", "said", "not", "both")]
+    return influenza.typed(influenza.case_records(*flu_inputs(spark, labs, cases)))
+
+
+def test_coinfections(coinfected):
+    found = [r.case_id for r in influenza.coinfections(coinfected).collect()]
+    assert sorted(found) == ["both", "near", "said"]
+    written = [r.case_id for r in influenza.coinfections(coinfected, as_written=True).collect()]
+    assert sorted(written) == ["both", "both", "far", "near", "said"]
+
+
+def test_recode_and_summary(coinfected, rows):
+    found = influenza.coinfections(coinfected)
+    recoded = influenza.recode_coinfections(coinfected, found)
+    assert recoded.count() == coinfected.count() == 8
+    kinds = dict(recoded.groupBy("flu_type").count().collect())
+    assert kinds == {"Coinfection": 5, "Flu A": 2, "Flu B": 1}
+    assert {r.report_category for r in recoded.filter("flu_type = 'Coinfection'").collect()} == {codes.CATEGORY_COINFECTION}
+    written = influenza.coinfections(coinfected, as_written=True)
+    assert influenza.recode_coinfections(coinfected, written, as_written=True).count() == 10
+
+
+def test_typing_reaches_every_row_of_the_case(coinfected, rows):
+    base = coinfected.select("party_id", "case_id", "test")
+    out = influenza.rows_with_typing(base, coinfected).filter(F.col("case_id") == "near")
+    assert rows(out, "test", "flu_type") == [(A_TEST, "Flu A"), (A_TEST, "Flu B"), (B_TEST, "Flu A"), (B_TEST, "Flu B")]
+
+
+def test_season_comparison_and_trend(spark, rows):
+    period = ReportPeriod(date(2024, 1, 17))  # last full week is week 2
+    week2 = [date(y, 1, 10) for y in range(2019, 2024)]
+    historic = [(d,) for d in week2] + [(date(2022, 11, 1),)] * 3 + [(date(2024, 1, 10),)]
+    current = [(date(2024, 1, 10),)] * 2 + [(date(2023, 10, 2),), (date(2024, 1, 16),)]
+    hist, cur = (spark.createDataFrame(x, "event_date date") for x in (historic, current))
+    out = influenza.season_comparison(cur, hist, period)
+    assert rows(out, "season", "mmwr_week", "weekly_count", "cumulative_count") == [
+        ("2018-19", 2, 1, 1), ("2019-20", 2, 1, 1), ("2020-21", 2, 1, 1), ("2021-22", 2, 1, 1),
+        ("2022-23", 2, 1, 4), ("2023-24", 2, 2, 3),
+    ]
+    trend = influenza.monthly_trend(cur, hist, period)
+    assert rows(trend, "rownum", "month_year", "n") == [
+        (1, "November 2022", 3), (2, "January 2023", 1), (3, "October 2023", 1), (4, "January 2024", 2),
+    ]
+
+
+# ---- facilities ----------------------------------------------------------------------
+
+SATURDAY = date(2024, 6, 29)
+FEED = ("sending_date date, specimen_date date, event_date date, facility string, facility_other string, "
+        "reporting_facility string, reporting_facility_other string, sending_facility string, disease string, "
+        "test string, observation_type string")
+
+
+def feed(spark, rows_):
+    """(facility, reporter, sender, days before the newest Saturday, lag, test)"""
+    return spark.createDataFrame(
+        [
+            (SATURDAY - timedelta(back), None if lag is None else SATURDAY - timedelta(back + lag), None, f, None, r, None,
+             s, "flu", t, "lab")
+            for f, r, s, back, lag, t in rows_
+        ],
+        FEED,
+    )
+
+
+def weeks_of(facility, counts):
+    return [(facility, "r", "s", 7 * i, 1, "t") for i, n in enumerate(counts) for _ in range(n)]
+
+
+def test_volume_flags_by_week(spark):
+    data = weeks_of("short", [3, 3, 3]) + weeks_of("e27", [10, 2, 2, 2]) + weeks_of("e28", [2, 2, 2, 10])
+    out = facilities.facility_aggregate(feed(spark, data)).collect()
+    last = {(r.facility_clean, r.week_ending): r for r in out}
+    assert all(r.rolling_mean is None and r.volume_flag_1sd == "Normal" for r in out if r.facility_clean == "short")
+    oldest = SATURDAY - timedelta(21)
+    e27, e28 = last["e27", oldest], last["e28", oldest]
+    assert (e27.rolling_mean, e27.rolling_sd, e27.volume_flag_1sd) == (4.0, 4.0, "Normal")
+    assert (e28.rolling_mean, e28.rolling_sd, e28.volume_flag_1sd, e28.volume_flag_2sd) == (4.0, 4.0, "Flag", "Normal")
+    trailing = facilities.facility_aggregate(feed(spark, data), order="asc").collect()
+    newest = {r.facility_clean: r for r in trailing if r.week_ending == SATURDAY}
+    assert newest["e27"].volume_flag_1sd == "Flag" and newest["e28"].volume_flag_1sd == "Normal"
+
+
+def test_silence_and_lag(spark):
+    data = [("quiet", "r", "s", 8, 1, "t"), ("on time", "r", "s", 7, 1, "t"), ("new", "r", "s", 0, 1, "t"),
+            ("slow", "r", "s", 0, 30, "t"), ("slow", "r", "s", 0, None, "t")]
+    out = {r.facility_clean: r for r in facilities.facility_aggregate(feed(spark, data)).collect()}
+    assert (out["on time"].submission_time_flag, out["quiet"].submission_time_flag) == ("Normal", "Flag")
+    assert out["new"].sd_lag is None and out["new"].average_lag == 1.0
+    assert out["slow"].average_lag == 30.0 and out["slow"].labs_by_week == 2
+    strict = facilities.facility_aggregate(feed(spark, data), null_mode="propagate").collect()
+    assert {r.facility_clean: r.average_lag for r in strict}["slow"] is None
+    flagged = facilities.flagged_facilities(feed(spark, data)).collect()
+    assert sorted((r.facility_clean, r.abnormal_lag) for r in flagged) == [("quiet", "Normal"), ("slow", "Flag")]
+
+
+def test_same_week_of_two_years(spark):
+    data = [("f", "r", "s", 0, 1, "t"), ("f", "r", "s", 364, 1, "t"), ("f", "r", "s", 364, 1, "t")]
+    by_year = facilities.facility_aggregate(feed(spark, data)).collect()
+    assert sorted(r.labs_by_week for r in by_year) == [1, 2]
+    added = facilities.facility_aggregate(feed(spark, data), include_year=False).collect()
+    assert [r.labs_by_week for r in added] == [3, 3]
+
+
+def test_unknown_facility_takes_other_names(spark, rows):
+    data = [(None, None, "s1", 0, 2, "b"), (None, None, "s2", 0, 4, "a"), (None, "rep", "s3", 0, 1, "t"),
+            (None, None, "s1", 0, 6, "a"), ("rep", "rep", "s", 0, 1, "a")]
+    out = facilities.facility_aggregate(feed(spark, data))
+    assert rows(out, "facility_clean", "reporting_clean", "test", "labs_by_week", "average_lag") == [
+        ("rep", "rep", "a", 1, 1.0), ("s1", None, "a", 3, 4.0), ("s2", None, "a", 3, 4.0),
+    ]
+    cleaned = facilities.lab_rows(feed(spark, data))
+    assert "event_date" not in cleaned.columns
+    assert rows(cleaned.groupBy("facility_clean").count()) == [("rep", 2), ("s1", 2), ("s2", 1)]
+
+
+def test_lag_moments_are_exact(spark):
+    lags = [10_000 + i % 7 for i in range(500)] + [None]
+    out = facilities.facility_aggregate(feed(spark, [("f", "r", "s", i % 60, v, "t") for i, v in enumerate(lags)]))
+    known = [v for v in lags if v is not None]
+    for r in out.collect():
+        assert math.isclose(r.average_lag, statistics.mean(known), rel_tol=1e-12)
+        assert math.isclose(r.sd_lag, statistics.stdev(known), rel_tol=1e-9)
+
+
+# ---- indicators ----------------------------------------------------------------------
+
+def test_grid_labels_and_rates(spark):
+    counts = spark.createDataFrame([("A", 2022, 1, 35, 28), ("A", 2022, 2, 0, 0), ("Column Total", 2022, 1, 99, 9)],
+                                   "region string, year int, quarter int, n bigint, n_pass bigint")
+    grid = joins.grid(spark, region=["A", "B"], year=[2022, 2023, 2024], quarter=[1, 2, 3, 4])
+    cells = indicators.with_rates(indicators.labelled_grid(counts, grid, (2024, 3)))
+    out = {(r.region, r.year, r.quarter): r for r in cells.collect()}
+    assert len(out) == 24
+    assert (out["A", 2022, 1].label, out["A", 2022, 1].rate, out["A", 2022, 1].rownum) == ("Q1(n=35)", 80.0, 1)
+    assert (out["A", 2022, 2].n, out["A", 2022, 2].rate) == (0, None)
+    assert (out["B", 2022, 2].label, out["B", 2022, 2].rate) == ("Q2(n=0)", None)
+    assert out["B", 2024, 4].label == "Q4" and out["B", 2024, 4].rownum == 24
+    dated = indicators.labelled_grid(counts, grid, (2024, 3), with_year=True)
+    assert dated.filter("region = 'A' and year = 2022 and quarter = 1").first().label == "Q1-'22(n=35)"
+
+
+def test_sheet_with_groups_printed_once(spark, rows):
+    cells = [
+        (1, "Timeliness", None, None, None), (2, "Year", "Quarter", "Pass", "N"), (3, "2022", "1", "4", "5"),
+        (4, None, "2", "3", "3"), (5, None, "4", "0", "0"), (6, "2023", "1", "2", "8"), (7, "Column Total", None, "9", "16"),
+    ]
+    sheet = spark.createDataFrame([("s", *c) for c in cells], "sheet_id string, row_no bigint, c1 string, c2 string, c3 string, c4 string")
+    out = indicators.timeliness_from_sheets(sheet, ["year", "quarter", "n_pass", "n"], 2, ["year", "quarter"])
+    assert rows(out, "year", "quarter", "n_pass", "n") == [(2022, 1, 4, 5), (2022, 2, 3, 3), (2022, 4, 0, 0), (2023, 1, 2, 8)]
+
+
+def test_pass_rate_of_an_empty_quarter(spark, rows):
+    def sheet(name, year, q, n, passed, pct):
+        cells = [("t", None, None), (None, str(year), None), (None, str(q), None), ("rowmiss", "0", "0"),
+                 ("pass", passed, pct), ("Total", n, "100")]
+        return [(name, i + 1, *c) for i, c in enumerate(cells)]
+
+    df = spark.createDataFrame(sheet("a", 2022, 1, "8", "6", "75") + sheet("b", 2022, 2, "0", "0", "0") + sheet("c", 2022, 3, None, None, None),
+                               "sheet_id string, row_no bigint, c1 string, c2 string, c3 string")
+    out = indicators.pass_rates_from_sheets(df, 3, year=(2, "c2"), quarter=(3, "c2"))
+    assert rows(out, "year", "quarter", "n", "var6") == [(2022, 1, 8, 0.75), (2022, 2, 0, None), (2022, 3, 0, None)]
+
+
+def test_classification_rate(spark, rows):
+    cells = spark.createDataFrame([(2022, 2, 10), (2023, 2, 10), (2023, 3, 0), (2024, 1, 4)], "year int, quarter int, n bigint")
+    rejected = spark.createDataFrame(
+        [("A", "2023-2", "Incorrect status"), ("B", "2023-2", "incorrect case"), ("B", "2023-2", "Missing"), ("A", "2022-2", "Incorrect")],
+        "region string, year_qrtr string, reason string",
+    )
+    by_region = indicators.incorrect_by_quarter(rejected, ["region"])
+    out = indicators.classification_rate(cells, by_region, ["year", "quarter"], [2023, 2024])
+    assert rows(out, "year", "quarter", "n_correct", "pct_class_correct") == [
+        (2022, 2, 9, None), (2023, 2, 8, 0.8), (2023, 3, 0, None), (2024, 1, 4, 1.0),
+    ]
+    written = indicators.classification_rate_as_written(cells, by_region, ["year", "quarter"], [2023, 2024])
+    assert rows(written.filter("year = 2023 and quarter = 2"), "n_correct") == [(9,), (9,)]
+
+
+def test_series_against_targets(spark, rows):
+    df = spark.createDataFrame([("A", 2022, 1, "Q1(n=4)", 0.8, 85.0)], "region string, year int, quarter int, label string, var1 double, var8 double")
+    out = indicators.against_targets(indicators.indicator_series(df, ["var1", "var8"], fractions=["var1"]))
+    assert rows(out, "variable", "percent", "target", "meets_target") == [("var1", 80.0, 80.0, True), ("var8", 85.0, 90.0, False)]
+
+
+def test_completeness(spark, rows):
+    facts = spark.createDataFrame([("A", date(2022, 1, 3), "x", None), ("A", date(2022, 2, 3), None, None)],
+                                  "region string, day date, onset string, died string")
+    out = indicators.quarter_completeness(facts, "day", {"var1": "onset", "var2": "died"}, by=["region"])
+    assert rows(out) == [("A", 2022, 1, 2, 0.5, 0.0, 0.25)]

@@ -385,6 +385,34 @@ def pass_rate_sheets(spark, sf_dir):
     return rates.select("region", "year", "quarter", "n", F.round("var6", 6).alias("var6"))
 
 
+@query(
+    "completeness_sheets",
+    f"""WITH {COMPLETE}, dense AS (
+      SELECT g.region, g.year, g.quarter, coalesce(n, 0) AS n, var1, var2
+      FROM grid g LEFT JOIN filled f ON g.region = f.region AND g.year = f.year AND g.quarter = f.quarter)
+    SELECT region, year, quarter, n, round(var1, 6) AS var1, round(var2, 6) AS var2, {label_sql('n')} AS label FROM dense""",
+)
+def completeness_sheets(spark, sf_dir):
+    """Printed completeness sheets read back and put on the grid."""
+    shares = ind.quarter_completeness(facts(spark, sf_dir), "event_date", FIELDS, by=["region"])
+    in_sheet = Window.partitionBy("region").orderBy("year", "quarter")
+    body = shares.select(
+        F.col("region").alias("sheet_id"),
+        (F.row_number().over(in_sheet) + 1).cast("bigint").alias("row_no"),
+        F.col("region").alias("c1"),
+        ind.quarter_key("year", "quarter").alias("c2"),
+        *[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(("n", "var1", "var2"), 3)],
+    )
+    heads = shares.select(F.col("region").alias("sheet_id")).distinct().select(
+        "sheet_id", F.lit(1).cast("bigint").alias("row_no"),
+        *[F.lit(h).alias(f"c{i}") for i, h in enumerate(("Region", "Year_Qrtr", "N", "var1", "var2"), 1)],
+    )
+    sheets = exported(spark, body.unionByName(heads), TIMELY_COLUMNS)
+    read = ind.completeness_from_sheets(sheets, ["region", "year_qrtr", "n", "var1", "var2"], 1)
+    cells = ind.labelled_grid(read, region_grid(spark), CURRENT)
+    return cells.withColumns({c: F.round(c, 6) for c in ("var1", "var2")})
+
+
 # ---- sources and sinks ---------------------------------------------------------------
 
 @query(
