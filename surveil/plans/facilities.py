@@ -1,6 +1,6 @@
 """Lab feed monitoring per facility: lag, weekly volume, silence and their flags.
 
-The feeds are reduced once, to one row per facility, week and attributes shown. Every
+The feeds are reduced in one pass, then to one row per facility, week and name. Every
 statistic follows from those rows, because the lag is a whole number of days and its sums
 are exact; so nothing is joined back to the lab rows. All windows run on the reduced rows
 and share one shuffle by facility and one sort.
@@ -113,11 +113,11 @@ def weekly_statistics(
     ``order='desc'`` rolls over this week and the newer ones, as the report does; 'asc'
     gives a trailing mean. ``include_year=False`` adds up the same week of all years.
     """
-    # One shuffle by facility serves the two aggregates and all windows below.
-    reduced = weekly_base(feeds).repartition(*FACILITY)
     name = first_known("facility_clean", "reporting_clean", "sending_facility").alias("facility_name")
-    per_name = reduced.groupBy(*WEEK, name).agg(*_sums(), F.min(F.struct(*TIE_BREAK)).alias("first"))
-    per_week = per_name.groupBy(*WEEK).agg(
+    per_name = weekly_base(feeds).groupBy(*WEEK, name).agg(*_sums(), F.min(F.struct(*TIE_BREAK)).alias("first"))
+    # Now a facility has one row per week and name. One shuffle by facility serves the
+    # aggregate and all windows below.
+    per_week = per_name.repartition(*FACILITY).groupBy(*WEEK).agg(
         *_sums(), F.collect_list(F.struct("facility_name", "first.*")).alias("shown")
     )
     by_facility = Window.partitionBy(*FACILITY)

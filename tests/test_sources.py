@@ -55,3 +55,15 @@ def test_scratch_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = writers.scratch_folder(spark, "t"), writers.scratch_folder(spark, "t")
     assert a.startswith(shared) and a != b
+
+
+def test_date_range_and_columns_reach_the_scan(spark, tmp_path):
+    from surveil.functions.periods import within
+
+    path = str(tmp_path / "labs")
+    spark.createDataFrame([(1, date(2024, 2, 3), "a", "b")], "i int, d date, t string, u string").write.parquet(path)
+    labs = readers.read_table(spark, path, "i int, d date, t string, u string")
+    out = labs.filter(within("d", *ReportPeriod(date(2024, 3, 31)).previous_month)).select("i")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(d,2024-02-01), LessThanOrEqual(d,2024-02-29)" in plan
+    assert "ReadSchema: struct<i:int,d:date>" in plan
