@@ -23,6 +23,10 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     its inputs itself, and nothing behind it can lean on that. A small side is still
     broadcast by measured size, and then neither side is shuffled.
     """
+    for k in keys:
+        mine, theirs_type = left.schema[k].dataType, right.schema[k].dataType
+        if mine != theirs_type:  # equal values of two types hash differently
+            raise TypeError(f"join key {k!r} is {mine.simpleString()} and {theirs_type.simpleString()}")
     tag = F.lit("|".join(right.columns))
     theirs = {k: f"__r_{k}" for k in keys}
     right = right.withColumn("__rh", F.xxhash64(tag, *keys)).withColumnsRenamed(theirs)

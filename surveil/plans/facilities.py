@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from surveil.functions.nulls import first_known
 from surveil.functions.periods import lag_days, mmwr_day, mmwr_week, mmwr_year, week_ending
 from surveil.functions.rules import any_flag, lag_flag, silence_flag, volume_flag
-from surveil.operators.aggregates import first_per_key, rows
+from surveil.operators.aggregates import first_per_key, latest, rows
 from surveil.operators.joins import attach_scalar_of
 from surveil.operators.windows import rolling_mean, rolling_sd
 
@@ -110,6 +110,8 @@ def weekly_statistics(
     differs from the facility only where the facility is unknown and the reporter or the
     sender stands in, so the list has one entry, or at most one per sender.
 
+    Both reports below derive from this frame, so a job that needs them writes it once.
+
     ``order='desc'`` rolls over this week and the newer ones, as the report does; 'asc'
     gives a trailing mean. ``include_year=False`` adds up the same week of all years.
     """
@@ -136,7 +138,7 @@ def weekly_statistics(
     sample = attach_scalar_of(
         stats,
         clean_rows(feeds).select("sending_date", "lag_days"),
-        latest_sample_date=F.max("sending_date"),
+        latest_sample_date=latest("sending_date", null_mode),
         mean_sample_lag=F.avg("lag_days"),
     ).withColumn("days_since_last", F.datediff("latest_sample_date", "latest_facility_date"))
     return sample.select(
@@ -155,19 +157,19 @@ def _report_rows(weekly: DataFrame) -> DataFrame:
     return weekly.select(F.inline("shown"), *keep).withColumnRenamed("facility_name", "facility_clean")
 
 
-def facility_aggregate(feeds: DataFrame, **options) -> DataFrame:
-    """One row per facility, reporter, disease and week.
+def facility_aggregate(weekly: DataFrame) -> DataFrame:
+    """One row per facility, reporter, disease and week, from ``weekly_statistics``.
 
     The test and other attributes are those of the week's first row in the order of
     ``TIE_BREAK``. A name that stands in for an unknown facility may meet a real facility
     of that name; then, too, the first row is kept.
     """
-    return first_per_key(_report_rows(weekly_statistics(feeds, **options)), WEEK, TIE_BREAK).drop("abnormal_lag")
+    return first_per_key(_report_rows(weekly), WEEK, TIE_BREAK).drop("abnormal_lag")
 
 
-def flagged_facilities(feeds: DataFrame, **options) -> DataFrame:
+def flagged_facilities(weekly: DataFrame) -> DataFrame:
     """Facilities with a flag: their newest flagged row, once per facility and reporter."""
-    flagged = _report_rows(weekly_statistics(feeds, **options).filter(any_flag(*FLAGS)))
+    flagged = _report_rows(weekly.filter(any_flag(*FLAGS)))
     order = [F.desc("week_ending"), F.asc("disease"), *TIE_BREAK]
     return first_per_key(flagged, FACILITY[:2], order).drop("latest_facility_date", "average_lag", "sd_lag")
 

@@ -49,6 +49,11 @@ def test_skew_join_matches_nulls(spark, rows):
     assert rows(joins.skew_join(a, b, ["k"], "left_anti"), "a") == [(3,)]
 
 
+def test_skew_join_refuses_keys_of_two_types(spark):
+    with pytest.raises(TypeError, match="bigint"):
+        joins.skew_join(spark.range(1), spark.range(1).select(F.col("id").cast("int").alias("id")), ["id"])
+
+
 def test_attach_group_stat_splits_a_hot_key(skew):
     df = hot(skew)
     out = joins.attach_group_stat(df, ["k"], n_rows().alias("n"), F.max("v").alias("top"))

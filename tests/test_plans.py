@@ -165,20 +165,24 @@ def feed(spark, rows_):
     )
 
 
+def aggregate(feeds, **options):
+    return facilities.facility_aggregate(facilities.weekly_statistics(feeds, **options))
+
+
 def weeks_of(facility, counts):
     return [(facility, "r", "s", 7 * i, 1, "t") for i, n in enumerate(counts) for _ in range(n)]
 
 
 def test_volume_flags_by_week(spark):
     data = weeks_of("short", [3, 3, 3]) + weeks_of("e27", [10, 2, 2, 2]) + weeks_of("e28", [2, 2, 2, 10])
-    out = facilities.facility_aggregate(feed(spark, data)).collect()
+    out = aggregate(feed(spark, data)).collect()
     last = {(r.facility_clean, r.week_ending): r for r in out}
     assert all(r.rolling_mean is None and r.volume_flag_1sd == "Normal" for r in out if r.facility_clean == "short")
     oldest = SATURDAY - timedelta(21)
     e27, e28 = last["e27", oldest], last["e28", oldest]
     assert (e27.rolling_mean, e27.rolling_sd, e27.volume_flag_1sd) == (4.0, 4.0, "Normal")
     assert (e28.rolling_mean, e28.rolling_sd, e28.volume_flag_1sd, e28.volume_flag_2sd) == (4.0, 4.0, "Flag", "Normal")
-    trailing = facilities.facility_aggregate(feed(spark, data), order="asc").collect()
+    trailing = aggregate(feed(spark, data), order="asc").collect()
     newest = {r.facility_clean: r for r in trailing if r.week_ending == SATURDAY}
     assert newest["e27"].volume_flag_1sd == "Flag" and newest["e28"].volume_flag_1sd == "Normal"
 
@@ -186,28 +190,28 @@ def test_volume_flags_by_week(spark):
 def test_silence_and_lag(spark):
     data = [("quiet", "r", "s", 8, 1, "t"), ("on time", "r", "s", 7, 1, "t"), ("new", "r", "s", 0, 1, "t"),
             ("slow", "r", "s", 0, 30, "t"), ("slow", "r", "s", 0, None, "t")]
-    out = {r.facility_clean: r for r in facilities.facility_aggregate(feed(spark, data)).collect()}
+    out = {r.facility_clean: r for r in aggregate(feed(spark, data)).collect()}
     assert (out["on time"].submission_time_flag, out["quiet"].submission_time_flag) == ("Normal", "Flag")
     assert out["new"].sd_lag is None and out["new"].average_lag == 1.0
     assert out["slow"].average_lag == 30.0 and out["slow"].labs_by_week == 2
-    strict = facilities.facility_aggregate(feed(spark, data), null_mode="propagate").collect()
+    strict = aggregate(feed(spark, data), null_mode="propagate").collect()
     assert {r.facility_clean: r.average_lag for r in strict}["slow"] is None
-    flagged = facilities.flagged_facilities(feed(spark, data)).collect()
+    flagged = facilities.flagged_facilities(facilities.weekly_statistics(feed(spark, data))).collect()
     assert sorted((r.facility_clean, r.abnormal_lag) for r in flagged) == [("quiet", "Normal"), ("slow", "Flag")]
 
 
 def test_same_week_of_two_years(spark):
     data = [("f", "r", "s", 0, 1, "t"), ("f", "r", "s", 364, 1, "t"), ("f", "r", "s", 364, 1, "t")]
-    by_year = facilities.facility_aggregate(feed(spark, data)).collect()
+    by_year = aggregate(feed(spark, data)).collect()
     assert sorted(r.labs_by_week for r in by_year) == [1, 2]
-    added = facilities.facility_aggregate(feed(spark, data), include_year=False).collect()
+    added = aggregate(feed(spark, data), include_year=False).collect()
     assert [r.labs_by_week for r in added] == [3, 3]
 
 
 def test_unknown_facility_takes_other_names(spark, rows):
     data = [(None, None, "s1", 0, 2, "b"), (None, None, "s2", 0, 4, "a"), (None, "rep", "s3", 0, 1, "t"),
             (None, None, "s1", 0, 6, "a"), ("rep", "rep", "s", 0, 1, "a")]
-    out = facilities.facility_aggregate(feed(spark, data))
+    out = aggregate(feed(spark, data))
     assert rows(out, "facility_clean", "reporting_clean", "test", "labs_by_week", "average_lag") == [
         ("rep", "rep", "a", 1, 1.0), ("s1", None, "a", 3, 4.0), ("s2", None, "a", 3, 4.0),
     ]
@@ -218,7 +222,7 @@ def test_unknown_facility_takes_other_names(spark, rows):
 
 def test_lag_moments_are_exact(spark):
     lags = [10_000 + i % 7 for i in range(500)] + [None]
-    out = facilities.facility_aggregate(feed(spark, [("f", "r", "s", i % 60, v, "t") for i, v in enumerate(lags)]))
+    out = aggregate(feed(spark, [("f", "r", "s", i % 60, v, "t") for i, v in enumerate(lags)]))
     known = [v for v in lags if v is not None]
     for r in out.collect():
         assert math.isclose(r.average_lag, statistics.mean(known), rel_tol=1e-12)

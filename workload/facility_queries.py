@@ -236,7 +236,7 @@ FACILITY_SQL = STATS_SQL + """, stats AS (
       ORDER BY test, sending_facility, observation_type) = 1""",
 )
 def facility_aggregate(spark, sf_dir):
-    out = facilities.facility_aggregate(b.all_feeds(spark, sf_dir))
+    out = facilities.facility_aggregate(facilities.weekly_statistics(b.all_feeds(spark, sf_dir)))
     return out.withColumns({c: F.round(c, 6) for c in ("average_lag", "sd_lag", "rolling_mean", "rolling_sd")})
 
 
@@ -251,7 +251,7 @@ def facility_aggregate(spark, sf_dir):
       ORDER BY week_ending DESC, disease, test, sending_facility, observation_type) = 1""",
 )
 def flagged_facilities(spark, sf_dir):
-    out = facilities.flagged_facilities(b.all_feeds(spark, sf_dir))
+    out = facilities.flagged_facilities(facilities.weekly_statistics(b.all_feeds(spark, sf_dir)))
     return out.withColumns({c: F.round(c, 6) for c in ("rolling_mean", "rolling_sd")})
 
 
