@@ -95,15 +95,20 @@ def attach_scalar_of(df: DataFrame, source: DataFrame, **aggregates: Column) ->
 
 
 def attach_typing(rows: DataFrame, typed: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Left join of the typing results of a case to all its rows.
+    """The typing results of a case on all its rows, as one sorted array per row.
 
     The plain join pairs every row of a case with every typed row, which is quadratic in
-    a hot case. Typing columns take few values, so the typed side is reduced to its
-    distinct results with their multiplicity ``n_typed``: the row times ``n_typed`` is the
-    plain join, and rows without typing carry 1.
+    a hot case. Typing columns take few values, so a case has few distinct results; each
+    is listed once with its multiplicity ``n_typed``, and no row is multiplied.
     """
     results = typed.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("n_typed"))
-    return skew_join(rows, results, keys, "left").withColumn("n_typed", F.coalesce("n_typed", F.lit(1)))
+    listed = results.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*columns, "n_typed"))).alias("typing"))
+    return skew_join(rows, listed, keys, "left")
+
+
+def typing_rows(rows: DataFrame) -> DataFrame:
+    """``attach_typing`` as flat rows: one per row and distinct result of its case."""
+    return rows.select(*[c for c in rows.columns if c != "typing"], F.inline_outer("typing"))
 
 
 def natural_left_join(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -110,6 +110,7 @@ def typed(records: DataFrame, as_written: bool = False) -> DataFrame:
 
 
 def rows_with_typing(checked: DataFrame, typed_rows: DataFrame) -> DataFrame:
+    """All records of a case with the array of its typing results."""
     return attach_typing(checked, typed_rows, CASE, TYPING)
 
 

@@ -98,12 +98,14 @@ def test_attach_scalar(spark, rows):
 def test_typing_keeps_multiplicity_without_pairs(spark, rows):
     r = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "case_id int, test string")
     t = spark.createDataFrame([(1, "Flu A"), (1, "Flu A"), (1, "Flu B")], "case_id int, flu_type string")
-    out = joins.attach_typing(r, t, ["case_id"], ["flu_type"])
+    nested = joins.attach_typing(r, t, ["case_id"], ["flu_type"])
+    assert nested.count() == 3
+    out = joins.typing_rows(nested)
     assert rows(out, "test", "flu_type", "n_typed") == [
-        ("a", "Flu A", 2), ("a", "Flu B", 1), ("b", "Flu A", 2), ("b", "Flu B", 1), ("c", None, 1),
+        ("a", "Flu A", 2), ("a", "Flu B", 1), ("b", "Flu A", 2), ("b", "Flu B", 1), ("c", None, None),
     ]
     plain = r.join(t, "case_id", "left")
-    assert out.agg(F.sum("n_typed")).first()[0] == plain.count()
+    assert out.agg(F.sum(F.coalesce("n_typed", F.lit(1)))).first()[0] == plain.count()
 
 
 def test_grid_and_densify(spark, rows):

@@ -124,7 +124,9 @@ def test_recode_and_summary(coinfected, rows):
 
 def test_typing_reaches_every_row_of_the_case(coinfected, rows):
     base = coinfected.select("party_id", "case_id", "test")
-    out = influenza.rows_with_typing(base, coinfected).filter(F.col("case_id") == "near")
+    nested = influenza.rows_with_typing(base, coinfected).filter(F.col("case_id") == "near")
+    assert nested.count() == 2
+    out = joins.typing_rows(nested)
     assert rows(out, "test", "flu_type") == [(A_TEST, "Flu A"), (A_TEST, "Flu B"), (B_TEST, "Flu A"), (B_TEST, "Flu B")]
 
 

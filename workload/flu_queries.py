@@ -235,17 +235,48 @@ def report_category_as_written(spark, sf_dir):
     "typing_join",
     ALL + """, results AS (
       SELECT party_id, case_id, test_group, flu_type, subtype, report_category, count(*) AS n_typed
-      FROM typed GROUP BY ALL)
-    SELECT r.case_id, r.specimen_date, r.test, r.result, r.result_value, r.local_description, r.comments, test_group,
-           flu_type, subtype, report_category, coalesce(n_typed, 1) AS n_typed
-    FROM records r LEFT JOIN results s ON r.party_id = s.party_id AND r.case_id = s.case_id""",
+      FROM typed GROUP BY ALL),
+    listed AS (
+      SELECT party_id, case_id, string_agg(concat_ws('|', test_group, flu_type, coalesce(subtype, ''),
+        coalesce(report_category, ''), n_typed), '; ' ORDER BY test_group, flu_type, subtype NULLS FIRST,
+        report_category NULLS FIRST) AS typing
+      FROM results GROUP BY ALL)
+    SELECT r.case_id, r.specimen_date, r.test, r.result, r.result_value, r.local_description, r.comments, typing
+    FROM records r LEFT JOIN listed s ON r.party_id = s.party_id AND r.case_id = s.case_id""",
 )
 def typing_join(spark, sf_dir):
-    """Typing results of a case on all its records."""
+    """The typing results of a case, rendered as text, on all its records."""
     rows = _records(spark, sf_dir).select(
         "party_id", "case_id", "specimen_date", "test", "result", "result_value", "local_description", "comments"
     )
-    return flu.rows_with_typing(rows, _typed(spark, sf_dir)).drop("party_id")
+    typing_text = F.transform(
+        "typing",
+        lambda t: F.concat_ws(
+            "|", t.test_group, t.flu_type, F.coalesce(t.subtype, F.lit("")),
+            F.coalesce(t.report_category, F.lit("")), t.n_typed.cast("string"),
+        ),
+    )
+    nested = flu.rows_with_typing(rows, _typed(spark, sf_dir)).drop("party_id")
+    return nested.withColumn("typing", F.array_join(typing_text, "; "))
+
+
+# ---- typing as flat rows -------------------------------------------------------------
+
+@query(
+    "typing_rows_by_result",
+    ALL + """, results AS (
+      SELECT party_id, case_id, test_group, flu_type, subtype, report_category, count(*) AS n_typed
+      FROM typed GROUP BY ALL)
+    SELECT flu_type, subtype, count(*) AS n, CAST(sum(coalesce(n_typed, 1)) AS BIGINT) AS n_plain_join
+    FROM records r LEFT JOIN results s ON r.party_id = s.party_id AND r.case_id = s.case_id GROUP BY ALL""",
+)
+def typing_rows_by_result(spark, sf_dir):
+    """Records per typing result of their case, and the rows a plain join would have."""
+    records = _records(spark, sf_dir).select("party_id", "case_id", "test", "result", "specimen_date")
+    flat = joins.typing_rows(flu.rows_with_typing(records, _typed(spark, sf_dir)))
+    return flat.groupBy("flu_type", "subtype").agg(
+        aggregates.rows().alias("n"), F.sum(F.coalesce("n_typed", F.lit(1))).alias("n_plain_join")
+    )
 
 
 # ---- co-infections -------------------------------------------------------------------
