@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from surveil.functions.nulls import first_known
 from surveil.functions.periods import lag_days, mmwr_day, mmwr_week, mmwr_year, week_ending
@@ -74,9 +74,13 @@ def weekly_base(feeds: DataFrame) -> DataFrame:
     )
 
 
-def _facility_stats(null_mode: str) -> dict[str, Column]:
-    """Facility statistics from the exact integer sums of its reduced rows."""
-    w = Window.partitionBy(*FACILITY)
+def _facility_stats(by_week: WindowSpec, null_mode: str) -> dict[str, Column]:
+    """Facility statistics from the exact integer sums of its weeks.
+
+    The frame is the whole facility; it keeps the order of the rolling windows so that all
+    of them share one sort.
+    """
+    w = by_week.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def over(agg: Column) -> Column:
         return agg.over(w)
@@ -122,8 +126,8 @@ def weekly_statistics(
     per_week = per_name.repartition(*FACILITY).groupBy(*WEEK).agg(
         *_sums(), F.collect_list(F.struct("facility_name", "first.*")).alias("shown")
     )
-    by_facility = Window.partitionBy(*FACILITY)
-    by_week = by_facility.orderBy(F.desc("week_ending") if order == "desc" else F.asc("week_ending"))
+    newest_first = order == "desc"
+    by_week = Window.partitionBy(*FACILITY).orderBy(F.desc("week_ending") if newest_first else F.asc("week_ending"))
     # The Saturday of a week lies in the week's own epidemiological year.
     dated = per_week.withColumns({"mmwr_year": mmwr_year("week_ending"), "mmwr_week": mmwr_week("week_ending")})
     volume = F.col("n") if include_year else F.sum("n").over(Window.partitionBy(*FACILITY, "mmwr_week"))
@@ -131,7 +135,7 @@ def weekly_statistics(
         {
             "rolling_mean": rolling_mean("labs_by_week", by_week, weeks),
             "rolling_sd": rolling_sd("labs_by_week", by_week, weeks),
-            **_facility_stats(null_mode),
+            **_facility_stats(by_week, null_mode),
         }
     )
     # Two columns of the feeds, read apart: the reduced rows would be recomputed in full.
