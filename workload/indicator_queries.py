@@ -448,7 +448,7 @@ def report_roundtrip(spark, sf_dir):
 @query(
     "convert_types",
     """SELECT CAST(o_orderkey AS DOUBLE) AS case_id, TRY_CAST(o_orderpriority AS DOUBLE) AS priority,
-       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS event_time, nullif(o_orderstatus, 'P') AS status FROM orders""",
+       strftime(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS event_time, nullif(o_orderstatus, 'P') AS status FROM orders""",
 )
 def convert_types(spark, sf_dir):
     rows = b.table(spark, sf_dir, "orders").select(
@@ -457,7 +457,8 @@ def convert_types(spark, sf_dir):
         F.to_date("o_orderdate").alias("event_time"),
         nulls.sentinel_to_null("o_orderstatus", "P").alias("status"),
     )
-    return reshape.convert_types(rows, numbers=["case_id", "priority"], times=["event_time"])
+    converted = reshape.convert_types(rows, numbers=["case_id", "priority"], times=["event_time"])
+    return converted.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(
