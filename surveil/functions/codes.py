@@ -277,9 +277,10 @@ COINFECTION_COMMENT_EXCLUDES = "negative|rsv|cov"
 
 # ---- indicator targets in percent (fixed values) -------------------------------------
 
-TARGETS = {
-    "var1": 80, "var2": 80, "var3": 80, "var4": 80, "var5": 80, "var6": 100, "var7": 80,
-    "var8": 90, "var9": 90, "pct_CDC": 95, "pct_class_correct": 80,
+INDICATORS = {
+    "var1": (80, "fraction"), "var2": (80, "fraction"), "var3": (80, "fraction"), "var4": (80, "fraction"),
+    "var5": (80, "fraction"), "var6": (100, "fraction"), "var7": (80, "fraction"), "var8": (90, "percent"),
+    "var9": (90, "percent"), "pct_CDC": (95, "percent"), "pct_class_correct": (80, "fraction"),
 }
 
 

@@ -60,6 +60,14 @@ def to_number(c: ColumnOrName) -> Column:
     return as_col(c).try_cast("double")
 
 
+def whole_number(c: ColumnOrName, kind: str = "int") -> Column:
+    """Text such as '2022' or '2022.0' to a whole number. Missing stays null; anything else is an error."""
+    value, number = as_col(c), to_number(c)
+    whole = is_true(number == F.floor(number))
+    wrong = F.raise_error(F.concat(F.lit("not a whole number: "), value.cast("string"))).cast(kind)
+    return F.when(value.isNull(), F.lit(None).cast(kind)).when(whole, number.cast(kind)).otherwise(wrong)
+
+
 def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     """num / den as double, null when the denominator is zero."""
     return F.try_divide(as_col(num).cast("double"), as_col(den).cast("double"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 from pyspark.sql.window import Window
 
 from surveil.functions.nulls import propagate_nulls
@@ -67,11 +68,14 @@ def days_since_last(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
     )
 
 
-def lag_stats(df: DataFrame, keys: Sequence[str], lag: str, null_mode: str = "skip") -> DataFrame:
-    """Mean and sample SD of the lag; the SD of a single row is null."""
+def lag_stats(df: DataFrame, keys: Sequence[str], lag: str, null_mode: str | Sequence[str] = "skip") -> DataFrame:
+    """Mean and sample SD of the lag; the SD of a single row is null.
+
+    Several null modes come from one aggregate; then the names end in the mode.
+    """
+    modes = {"": null_mode} if isinstance(null_mode, str) else {f"_{m}": m for m in null_mode}
     return df.groupBy(*keys).agg(
-        _mode(F.avg(lag), lag, null_mode).alias("average_lag"),
-        _mode(F.stddev_samp(lag), lag, null_mode).alias("sd_lag"),
+        *[_mode(f(lag), lag, m).alias(f"{n}{end}") for end, m in modes.items() for n, f in (("average_lag", F.avg), ("sd_lag", F.stddev_samp))]
     )
 
 
@@ -79,8 +83,11 @@ def overall_lag(df: DataFrame, lag: str) -> DataFrame:
     """Mean and median of the whole sample, missing lags left out.
 
     The lag is a whole number of days, so the few distinct values are counted first and
-    the exact median is read from the counts: no task ever holds the sample.
+    the exact median is read from the counts: no task ever holds the sample. A column of
+    another kind could have as many values as rows and is refused.
     """
+    if not isinstance(df.schema[lag].dataType, IntegralType):
+        raise TypeError(f"{lag!r} must be a whole number of days")
     counts = df.filter(F.col(lag).isNotNull()).groupBy(lag).agg(rows().alias("n"))
     upto = Window.orderBy(lag).rowsBetween(Window.unboundedPreceding, 0)
     ranked = attach_scalar_of(counts, counts, total=F.sum("n")).withColumn("upto", F.sum("n").over(upto))

@@ -106,9 +106,16 @@ def attach_typing(rows: DataFrame, typed: DataFrame, keys: Sequence[str], column
     return skew_join(rows, listed, keys, "left")
 
 
-def typing_rows(rows: DataFrame) -> DataFrame:
-    """``attach_typing`` as flat rows: one per row and distinct result of its case."""
-    return rows.select(*[c for c in rows.columns if c != "typing"], F.inline_outer("typing"))
+def typing_rows(rows: DataFrame, dedupe: bool = True) -> DataFrame:
+    """``attach_typing`` as flat rows: one per row and distinct result of its case.
+
+    Without ``dedupe`` a result comes as often as it was typed, as the plain join has it.
+    """
+    flat = rows.select(*[c for c in rows.columns if c != "typing"], F.inline_outer("typing"))
+    if dedupe:
+        return flat
+    again = F.explode(F.sequence(F.lit(1), F.coalesce("n_typed", F.lit(1)).cast("int")))
+    return flat.select("*", again.alias("__i")).drop("__i", "n_typed")
 
 
 def natural_left_join(a: DataFrame, b: DataFrame) -> DataFrame:

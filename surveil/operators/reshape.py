@@ -80,9 +80,19 @@ def reshape_columns(
     first: Sequence[str] = (),
     last: Sequence[str] = (),
     drop_from: str | None = None,
+    select: Sequence[str | tuple[str, str]] = (),
 ) -> DataFrame:
-    """Drop, rename and move columns; ``drop_from`` drops that column and all after it."""
-    keep = df.columns[: df.columns.index(drop_from)] if drop_from else df.columns
+    """Select, drop, rename and move columns.
+
+    ``select`` keeps the named columns in its order; a pair stands for all columns from the
+    first to the second. ``drop_from`` drops that column and all after it.
+    """
+    place = df.columns.index
+    ranges = [df.columns[place(c[0]) : place(c[1]) + 1] if isinstance(c, tuple) else [c] for c in select]
+    keep = list(dict.fromkeys(c for r in ranges for c in r)) if select else df.columns
+    if drop_from:
+        gone = set(df.columns[place(drop_from) :])
+        keep = [c for c in keep if c not in gone]
     rename = rename or {}
     out = [c for c in keep if c not in drop]
     named = {rename.get(c, c): c for c in out}

@@ -45,10 +45,11 @@ def classification_report(
     """One row per distinct case-lab record with case totals and Pass or Fail."""
     if state is not None:
         cases = cases.filter(F.col("state") == state)
-    labs = with_indicators(
-        known_labs(labs, period, as_written).select(*[c for c in LAB_COLUMNS if c in labs.columns]), ci
-    )
-    cases = cases.select(*[c for c in CASE_COLUMNS if c in cases.columns])
+    missing = [c for c in LAB_COLUMNS if c not in labs.columns] + [c for c in CASE_COLUMNS if c not in cases.columns]
+    if missing:  # records are distinct over all of these columns, so none may be left out
+        raise ValueError(f"missing columns: {missing}")
+    labs = with_indicators(known_labs(labs, period, as_written).select(*LAB_COLUMNS), ci)
+    cases = cases.select(*CASE_COLUMNS)
     rows = cases_labs_totals(
         labs,
         cases,

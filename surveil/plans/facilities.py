@@ -1,9 +1,10 @@
 """Lab feed monitoring per facility: lag, weekly volume, silence and their flags.
 
-The feeds are reduced in one pass, then to one row per facility, week and name. Every
-statistic follows from those rows, because the lag is a whole number of days and its sums
-are exact; so nothing is joined back to the lab rows. All windows run on the reduced rows
-and share one shuffle by facility and one sort.
+The feeds are reduced in one pass to one row per facility, week and final name
+(``weekly_rows``). Every statistic follows from those rows, because the lag is a whole number
+of days and its sums are exact; so nothing is joined back to the lab rows and the feeds are
+read once. Callers write the rows before they use them twice. All windows run on numbers per
+facility and week, so a facility has one row per week however many names or senders it has.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql.window import Window, WindowSpec
 from surveil.functions.nulls import first_known
 from surveil.functions.periods import lag_days, mmwr_day, mmwr_week, mmwr_year, week_ending
 from surveil.functions.rules import any_flag, lag_flag, silence_flag, volume_flag
-from surveil.operators.aggregates import first_per_key, latest, rows
-from surveil.operators.joins import attach_scalar_of
+from surveil.operators.aggregates import first_per_key, rows
+from surveil.operators.joins import attach_scalar_of, skew_join
 from surveil.operators.windows import rolling_mean, rolling_sd
 
 FACILITY = ["facility_clean", "reporting_clean", "disease"]
@@ -49,19 +50,17 @@ def lab_rows(feeds: DataFrame) -> DataFrame:
     )
 
 
-def _sums() -> list[Column]:
-    """Sums of the partial sums."""
-    sums = [F.sum(c).alias(c) for c in ("n", "n_lag", "sum_lag", "n_date")]
-    squares = F.sum(F.col("sq_lag").cast("decimal(24,0)")).cast("decimal(24,0)").alias("sq_lag")
-    return [*sums, squares, F.max("max_lag").alias("max_lag"), F.max("max_date").alias("max_date")]
+def weekly_rows(feeds: DataFrame) -> DataFrame:
+    """Counts, lag sums and the first attribute row per facility, week and final facility name.
 
-
-def weekly_base(feeds: DataFrame) -> DataFrame:
-    """Counts and lag sums per facility, week and the attributes that a report row shows."""
+    That name differs from the facility only where the facility is unknown and the reporter or
+    the sender stands in.
+    """
     lag = F.col("lag_days")
+    name = first_known("facility_clean", "reporting_clean", "sending_facility").alias("facility_name")
     return (
         clean_rows(feeds)
-        .groupBy(*WEEK, "sending_facility", "test", "observation_type")
+        .groupBy(*WEEK, name)
         .agg(
             rows().alias("n"),
             F.count(lag).alias("n_lag"),
@@ -70,10 +69,18 @@ def weekly_base(feeds: DataFrame) -> DataFrame:
             F.max(lag).alias("max_lag"),
             F.max("sending_date").alias("max_date"),
             F.count("sending_date").alias("n_date"),
+            F.min(F.struct(*TIE_BREAK)).alias("first"),
         )
     )
 
 
+def _per_week(names: DataFrame) -> DataFrame:
+    """Sums of the partial sums per facility and week."""
+    sums = [F.sum(c).alias(c) for c in ("n", "n_lag", "sum_lag", "n_date")]
+    squares = F.sum(F.col("sq_lag").cast("decimal(24,0)")).cast("decimal(24,0)").alias("sq_lag")
+    return names.groupBy(*WEEK).agg(*sums, squares, F.max("max_lag").alias("max_lag"), F.max("max_date").alias("max_date"))
+
+
 def _facility_stats(by_week: WindowSpec, null_mode: str) -> dict[str, Column]:
     """Facility statistics from the exact integer sums of its weeks.
 
@@ -106,30 +113,17 @@ def _facility_stats(by_week: WindowSpec, null_mode: str) -> dict[str, Column]:
 
 
 def weekly_statistics(
-    feeds: DataFrame, order: str = "desc", include_year: bool = True, null_mode: str = "skip", weeks: int = 4
+    names: DataFrame, order: str = "desc", include_year: bool = True, null_mode: str = "skip", weeks: int = 4
 ) -> DataFrame:
-    """Statistics and flags, one row per facility, reporter, disease and week.
-
-    ``shown`` lists the attribute rows of the week, one per final facility name. That name
-    differs from the facility only where the facility is unknown and the reporter or the
-    sender stands in, so the list has one entry, or at most one per sender.
-
-    Both reports below derive from this frame, so a job that needs them writes it once.
+    """Statistics and flags from ``weekly_rows``: one row per facility, reporter, disease and week.
 
     ``order='desc'`` rolls over this week and the newer ones, as the report does; 'asc'
     gives a trailing mean. ``include_year=False`` adds up the same week of all years.
     """
-    name = first_known("facility_clean", "reporting_clean", "sending_facility").alias("facility_name")
-    per_name = weekly_base(feeds).groupBy(*WEEK, name).agg(*_sums(), F.min(F.struct(*TIE_BREAK)).alias("first"))
-    # Now a facility has one row per week and name. One shuffle by facility serves the
-    # aggregate and all windows below.
-    per_week = per_name.repartition(*FACILITY).groupBy(*WEEK).agg(
-        *_sums(), F.collect_list(F.struct("facility_name", "first.*")).alias("shown")
-    )
     newest_first = order == "desc"
     by_week = Window.partitionBy(*FACILITY).orderBy(F.desc("week_ending") if newest_first else F.asc("week_ending"))
     # The Saturday of a week lies in the week's own epidemiological year.
-    dated = per_week.withColumns({"mmwr_year": mmwr_year("week_ending"), "mmwr_week": mmwr_week("week_ending")})
+    dated = _per_week(names).withColumns({"mmwr_year": mmwr_year("week_ending"), "mmwr_week": mmwr_week("week_ending")})
     volume = F.col("n") if include_year else F.sum("n").over(Window.partitionBy(*FACILITY, "mmwr_week"))
     stats = dated.withColumn("labs_by_week", volume).withColumns(
         {
@@ -138,15 +132,14 @@ def weekly_statistics(
             **_facility_stats(by_week, null_mode),
         }
     )
-    # Two columns of the feeds, read apart: the reduced rows would be recomputed in full.
+    newest = F.max("max_date")
+    if null_mode == "propagate":
+        newest = F.when(F.sum("n_date") == F.sum("n"), newest)
     sample = attach_scalar_of(
-        stats,
-        clean_rows(feeds).select("sending_date", "lag_days"),
-        latest_sample_date=latest("sending_date", null_mode),
-        mean_sample_lag=F.avg("lag_days"),
+        stats, names, latest_sample_date=newest, mean_sample_lag=F.try_divide(F.sum("sum_lag").cast("double"), F.sum("n_lag").cast("double")),
     ).withColumn("days_since_last", F.datediff("latest_sample_date", "latest_facility_date"))
     return sample.select(
-        *WEEK, "shown", "mmwr_year", "mmwr_week", "latest_facility_date", "days_since_last", "average_lag",
+        *WEEK, "mmwr_year", "mmwr_week", "latest_facility_date", "days_since_last", "average_lag",
         "max_lag", "sd_lag", "labs_by_week", "rolling_mean", "rolling_sd",
         volume_flag("labs_by_week", "rolling_mean", "rolling_sd", 1).alias(FLAGS[0]),
         volume_flag("labs_by_week", "rolling_mean", "rolling_sd", 2).alias(FLAGS[1]),
@@ -155,25 +148,25 @@ def weekly_statistics(
     )
 
 
-def _report_rows(weekly: DataFrame) -> DataFrame:
+def _report_rows(names: DataFrame, weekly: DataFrame) -> DataFrame:
     """The statistics under each final facility name of the week, with its first row."""
-    keep = [c for c in weekly.columns if c not in ("shown", "facility_clean")]
-    return weekly.select(F.inline("shown"), *keep).withColumnRenamed("facility_name", "facility_clean")
+    shown = names.select(*WEEK, "facility_name", "first.*")
+    return skew_join(shown, weekly, WEEK).drop("facility_clean").withColumnRenamed("facility_name", "facility_clean")
 
 
-def facility_aggregate(weekly: DataFrame) -> DataFrame:
-    """One row per facility, reporter, disease and week, from ``weekly_statistics``.
+def facility_aggregate(names: DataFrame, weekly: DataFrame) -> DataFrame:
+    """One row per facility, reporter, disease and week, from ``weekly_rows`` and ``weekly_statistics``.
 
     The test and other attributes are those of the week's first row in the order of
     ``TIE_BREAK``. A name that stands in for an unknown facility may meet a real facility
     of that name; then, too, the first row is kept.
     """
-    return first_per_key(_report_rows(weekly), WEEK, TIE_BREAK).drop("abnormal_lag")
+    return first_per_key(_report_rows(names, weekly), WEEK, TIE_BREAK).drop("abnormal_lag")
 
 
-def flagged_facilities(weekly: DataFrame) -> DataFrame:
+def flagged_facilities(names: DataFrame, weekly: DataFrame) -> DataFrame:
     """Facilities with a flag: their newest flagged row, once per facility and reporter."""
-    flagged = _report_rows(weekly.filter(any_flag(*FLAGS)))
+    flagged = _report_rows(names, weekly.filter(any_flag(*FLAGS)))
     order = [F.desc("week_ending"), F.asc("disease"), *TIE_BREAK]
     return first_per_key(flagged, FACILITY[:2], order).drop("latest_facility_date", "average_lag", "sd_lag")
 

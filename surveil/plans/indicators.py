@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveil.functions import codes
-from surveil.functions.nulls import is_in, null_to_zero, pct_from_text, safe_pct, safe_ratio, sentinel_to_null, to_number
+from surveil.functions.nulls import any_of, is_in, null_to_zero, pct_from_text, safe_pct, safe_ratio, sentinel_to_null, to_number, whole_number
 from surveil.functions.rules import meets_target
 from surveil.functions.text import composite_key, count_label, split_parts, year_label
 from surveil.operators.aggregates import incorrect_counts, rows
@@ -92,30 +92,44 @@ def pass_rates_from_sheets(sheets: DataFrame, header_rows: int, **header: tuple[
         cells, keys, ["label", "metric"],
         [(r, m) for r in ("rowmiss", "pass", "Total") for m in ("N", "PCT")], "value",
     )
-    numbers = {k: F.col(k).try_cast("int") for k in QUARTER}
+    numbers = {k: whole_number(k) for k in QUARTER if k in keys}
     return wide.withColumns(
         numbers
         | {
-            "n": F.coalesce(to_number("Total_N"), F.lit(0.0)).cast("bigint"),
+            "n": null_to_zero(whole_number("Total_N", "bigint")),
             "var6": pct_from_text("pass_PCT", "Total_N", "pass_N"),
         }
     )
 
 
+TOTALS = ("Total", "Column Total")
+
+
+def pass_rate_grid(
+    sheets: DataFrame, header_rows: int, full_grid: DataFrame, current: tuple[int, int], **header: tuple[int, str]
+) -> DataFrame:
+    """``pass_rates_from_sheets`` on the full grid: absent quarters have n 0, their label and no rate."""
+    rates = pass_rates_from_sheets(sheets, header_rows, **header)
+    return labelled_grid(rates.select(*full_grid.columns, "n", "var6"), full_grid, current)
+
+
 def completeness_from_sheets(sheets: DataFrame, names: Sequence[str], skip: int) -> DataFrame:
     """Printed sheets with one row per quarter, keyed '2023-2', under ``skip`` header rows.
 
+    Total rows and blank rows go; a key that is no year and quarter is an error.
+
     ``names`` names the cells by position; ``region`` and ``year_qrtr`` stay text, ``n`` is
     a count and all others are shares.
     """
     body = repair_header(sheets, names, skip)
+    body = body.filter(sentinel_to_null("year_qrtr", *TOTALS).isNotNull())
     year, quarter = split_parts("year_qrtr", 2)
     shares = [c for c in names if c not in ("region", "year_qrtr", "n")]
     return body.select(
         *[c for c in ("region",) if c in names],
-        year.try_cast("int").alias("year"),
-        quarter.try_cast("int").alias("quarter"),
-        to_number("n").cast("bigint").alias("n"),
+        whole_number(year).alias("year"),
+        whole_number(quarter).alias("quarter"),
+        whole_number("n", "bigint").alias("n"),
         *[to_number(c).alias(c) for c in shares],
     )
 
@@ -127,21 +141,34 @@ def timeliness_from_sheets(
 
     Columns are named by position, header rows dropped, numbers missing in the data taken
     from the header row, group names carried down, and header words among them removed.
+    Only header rows, total rows and blank rows go: a year, quarter or count that is neither
+    missing nor a whole number, and a data row without a quarter, are errors.
     """
     if header_row is not None:
         named = repair_header(sheets, names)
         body = drop_first_n(header_fallback(named, ["n_pass", "n"], header_row), skip)
     else:
-        body = repair_header(sheets, names, skip).withColumns({c: to_number(c) for c in ("n_pass", "n")})
+        body = repair_header(sheets, names, skip)
+    total = any_of(is_in(k, TOTALS) for k in keys)
+    heading = any_of(is_in(k, [k.capitalize()]) for k in keys)
+    blank = F.coalesce("quarter", F.col("n_pass").cast("string"), F.col("n").cast("string")).isNull()
     groups = [k for k in keys if k != "quarter"]
-    filled = fill_down(body, groups, [SHEET], ROW)
-    clean = filled.withColumns({k: sentinel_to_null(k, k.capitalize(), "Column Total") for k in groups})
-    return clean.filter(" AND ".join(f"{k} IS NOT NULL" for k in groups)).select(
+    filled = fill_down(body.filter(~(total | heading | blank)), groups, [SHEET], ROW)
+    lost = any_of(F.col(k).isNull() for k in keys)
+    error = F.raise_error(F.concat(F.lit("a row without "), F.lit(" or ".join(keys)), F.lit(": "), F.to_json(F.struct(SHEET, ROW))))
+    filled = filled.withColumn("quarter", F.when(lost, error.cast("string")).otherwise(F.col("quarter")))
+    return filled.select(
         SHEET,
-        *[F.col(k).try_cast("int").alias(k) if k in QUARTER else F.col(k) for k in keys],
-        F.col("n_pass").cast("bigint").alias("n_pass"),
-        F.col("n").cast("bigint").alias("n"),
-    ).filter(F.col("quarter").isNotNull())
+        *[whole_number(k).alias(k) if k in QUARTER else F.col(k) for k in keys],
+        whole_number("n_pass", "bigint").alias("n_pass"),
+        whole_number("n", "bigint").alias("n"),
+    )
+
+
+def timeliness_grid(counts: DataFrame, full_grid: DataFrame, current: tuple[int, int], name: str) -> DataFrame:
+    """``timeliness_from_sheets`` on the full grid, with label and year, percent passing as ``name`` and row number."""
+    cells = counts.select(*full_grid.columns, "n_pass", "n")
+    return with_rates(labelled_grid(cells, full_grid, current, with_year=True), name=name)
 
 
 # ---- classification ------------------------------------------------------------------
@@ -188,19 +215,19 @@ def indicator_series(
     df: DataFrame,
     variables: Sequence[str],
     ids: Sequence[str] = ("region", "year", "quarter", "label"),
-    fractions: Sequence[str] = (),
-    targets: dict[str, float] | None = None,
+    indicators: dict[str, tuple[float, str]] | None = None,
 ) -> DataFrame:
     """The rows behind the charts: one per cell and indicator, with percent and target.
 
-    Indicators in ``fractions`` are stored as fractions and shown times 100.
+    ``indicators`` holds target and unit of each variable; fractions are shown times 100.
     """
-    targets = targets or codes.TARGETS
+    known = indicators or codes.INDICATORS
     doubles = df.select(*ids, *[F.col(v).cast("double").alias(v) for v in variables])
     long = doubles.unpivot(list(ids), list(variables), "variable", "value")
-    known = F.create_map(*[F.lit(x) for v in variables for x in (v, float(targets[v]))])
-    percent = F.when(is_in("variable", fractions), F.col("value") * 100).otherwise(F.col("value")) if fractions else F.col("value")
-    return long.select(*ids, "variable", percent.alias("percent"), known[F.col("variable")].alias("target"))
+    targets = F.create_map(*[F.lit(x) for v in variables for x in (v, float(known[v][0]))])
+    factors = F.create_map(*[F.lit(x) for v in variables for x in (v, 100.0 if known[v][1] == "fraction" else 1.0)])
+    percent = F.col("value") * factors[F.col("variable")]
+    return long.select(*ids, "variable", percent.alias("percent"), targets[F.col("variable")].alias("target"))
 
 
 def against_targets(series: DataFrame) -> DataFrame:

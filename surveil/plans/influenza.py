@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,9 +63,15 @@ def case_check(
     state: str | None = None,
     whole_history: bool = False,
     stale_suspect: bool = False,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Case-lab records with positives per case and test group, Final QC and time lag."""
+    """Case-lab records with positives per case and test group, Final QC and time lag.
+
+    The selected cases are needed three times: to cut the labs, for the totals and in the
+    records. ``keep`` writes them and reads them back, so they are found once.
+    """
     cases = season_cases(cases, None if whole_history else period, state)
+    cases = keep(cases.distinct()) if keep else cases
     labs = _of_cases(known_labs(labs), cases, not whole_history)
     checked = cases_labs_totals(
         labs,
@@ -128,6 +136,9 @@ def coinfections_by_comment(typed_rows: DataFrame) -> DataFrame:
 def coinfections(typed_rows: DataFrame, days: int = 31, as_written: bool = False) -> DataFrame:
     """Co-infected cases by date or by comment, once each; as written, once per finding.
 
+    A case is a party and its case number: the findings of two parties never meet, even under one
+    number, and each party is listed.
+
     Both findings come from one aggregate over the typed rows.
     """
     if as_written:

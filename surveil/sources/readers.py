@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from surveil.functions.periods import ReportPeriod
+from surveil.sources.writers import extract_path
 
 
 def read_table(
@@ -44,12 +44,11 @@ def read_warehouse(
 
 
 def read_period_extract(spark: SparkSession, base: str, period: ReportPeriod) -> DataFrame:
-    """The history extract of the report date, from a dataset partitioned by year and month.
+    """The history extract of the report date (``write_period_extract``), whole.
 
-    Only the files of that one partition are listed and read.
+    Only the files of that one extract are listed and read. An extract that is not there is an error.
     """
-    year, month = period.extract_month()
-    return spark.read.parquet(base).filter((F.col("year") == year) & (F.col("month") == month))
+    return spark.read.option("basePath", base).parquet(extract_path(base, period))
 
 
 def read_sheet_csv(spark: SparkSession, path: str, columns: list[str], null_token: str = ".") -> DataFrame:

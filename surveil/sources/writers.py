@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from surveil.functions.periods import ReportPeriod
 
 
 def write_report(df: DataFrame, path: str, as_of: date, fmt: str = "parquet") -> None:
@@ -25,14 +26,20 @@ def write_report(df: DataFrame, path: str, as_of: date, fmt: str = "parquet") ->
         writer.format(fmt).save(target)
 
 
-def write_period_extracts(df: DataFrame, base: str, day: str) -> None:
-    """A history dataset partitioned by year and month of the date.
+def write_period_extract(df: DataFrame, base: str, period: ReportPeriod) -> None:
+    """The history extract of the report date: all of ``df`` under the year and month of the extract.
 
-    The rebalance hint gives each month its own files and splits a month that is too big
-    for one task.
+    The month is that of the report, not of the rows: one extract holds every earlier season.
+    Other extracts in ``base`` are kept.
     """
-    parted = df.withColumns({"year": F.year(day), "month": F.month(day)})
-    parted.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(base)
+    if {"year", "month"} & set(df.columns):
+        raise ValueError("year and month name the extract; rename these columns")
+    df.hint("rebalance").write.mode("overwrite").parquet(extract_path(base, period))
+
+
+def extract_path(base: str, period: ReportPeriod) -> str:
+    year, month = period.extract_month()
+    return f"{base}/year={year}/month={month}"
 
 
 # One set of options for both directions: every value quoted, quotes doubled, white space
@@ -43,14 +50,26 @@ CSV_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that survives quotes, separators and line breaks in free text."""
-    df.write.mode("overwrite").options(quoteAll=True, **CSV_OPTIONS).csv(path)
+# A text that reads like the null token, with any number of backslashes, gets one more.
+LIKE_NULL, LIKE_ESCAPED = r"^\\+N$", r"^\\{2,}N$"
+MAX_RECORDS = 1_000_000  # rows per file: a multi-line file is read by one task
+
+
+def write_csv(df: DataFrame, path: str, max_records: int = MAX_RECORDS) -> None:
+    """CSV that survives quotes, separators, line breaks and the null token itself in free text."""
+    texts = [f.name for f in df.schema if f.dataType == StringType()]
+    escaped = {c: F.when(F.col(f"`{c}`").rlike(LIKE_NULL), F.concat(F.lit("\\"), f"`{c}`")).otherwise(F.col(f"`{c}`")) for c in texts}
+    writer = df.withColumns(escaped).write.mode("overwrite").option("maxRecordsPerFile", max_records)
+    writer.options(quoteAll=True, **CSV_OPTIONS).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """Counterpart of ``write_csv``."""
-    return spark.read.schema(schema).options(multiLine=True, **CSV_OPTIONS).csv(path)
+    df = spark.read.schema(schema).options(multiLine=True, **CSV_OPTIONS).csv(path)
+    texts = [f.name for f in df.schema if f.dataType == StringType()]
+    return df.withColumns(
+        {c: F.when(F.col(f"`{c}`").rlike(LIKE_ESCAPED), F.substring(f"`{c}`", 2, 2**30)).otherwise(F.col(f"`{c}`")) for c in texts}
+    )
 
 
 def report_name(prefix: str, as_of: date, year_week: tuple[int, int] | None = None) -> str:
@@ -59,11 +78,9 @@ def report_name(prefix: str, as_of: date, year_week: tuple[int, int] | None = No
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for an intermediate table, in the shared folder that the cluster names
-    in ``spark.checkpoint.dir``. Only a local session may do without that setting."""
+    """A new folder for an intermediate table, in the shared folder that the session names
+    in ``spark.checkpoint.dir``. Without that setting there is no folder that all executors see."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="surveil-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")

@@ -105,6 +105,8 @@ def test_typing_keeps_multiplicity_without_pairs(spark, rows):
         ("a", "Flu A", 2), ("a", "Flu B", 1), ("b", "Flu A", 2), ("b", "Flu B", 1), ("c", None, None),
     ]
     plain = r.join(t, "case_id", "left")
+    again = joins.typing_rows(nested, dedupe=False)
+    assert rows(again, "test", "flu_type") == rows(plain, "test", "flu_type")
     assert out.agg(F.sum(F.coalesce("n_typed", F.lit(1)))).first()[0] == plain.count()
 
 

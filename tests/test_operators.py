@@ -17,6 +17,9 @@ def test_null_modes(spark, rows):
     df = spark.createDataFrame([("f", 2), ("f", None), ("f", 4), ("g", 3)], "k string, lag int")
     assert rows(aggregates.lag_stats(df, ["k"], "lag")) == [("f", 3.0, pytest.approx(2**0.5)), ("g", 3.0, None)]
     assert rows(aggregates.lag_stats(df, ["k"], "lag", "propagate")) == [("f", None, None), ("g", 3.0, None)]
+    both = aggregates.lag_stats(df, ["k"], "lag", ["skip", "propagate"])
+    assert rows(both, "k", "average_lag_skip", "average_lag_propagate") == [("f", 3.0, None), ("g", 3.0, 3.0)]
+    assert both._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert rows(aggregates.latest_by(df, ["k"], "lag", "propagate")) == [("f", None), ("g", 3)]
     with pytest.raises(ValueError):
         aggregates.lag_stats(df, ["k"], "lag", "other")
@@ -32,6 +35,18 @@ def test_overall_lag(spark, lags):
     assert got.median_lag == statistics.median(known)
 
 
+def test_overall_lag_refuses_fractions(spark):
+    with pytest.raises(TypeError):
+        aggregates.overall_lag(spark.createDataFrame([(1.5,)], "lag double"), "lag")
+
+
+def test_range_select(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5)], "a int, b int, c int, d int, e int")
+    assert reshape.reshape_columns(df, select=["e", ("b", "d")]).columns == ["e", "b", "c", "d"]
+    assert reshape.reshape_columns(df, select=[("a", "d")], drop=["b"], rename={"c": "x"}, last=["a"]).columns == ["x", "d", "a"]
+    assert reshape.reshape_columns(df, select=[("a", "e")], drop_from="d").columns == ["a", "b", "c"]
+
+
 def test_days_since_last(spark, rows):
     df = spark.createDataFrame([("a", date(2024, 1, 1)), ("a", date(2024, 1, 8)), ("b", date(2024, 1, 1))], "k string, d date")
     assert rows(aggregates.days_since_last(df, ["k"], "d"), "k", "days_since_last") == [("a", 0), ("b", 7)]

@@ -22,7 +22,10 @@ def covid_report(spark, labs, **options):
     ids = sorted({row[0] for row in labs if row[0]})
     cases = spark.createDataFrame([(i, "c", "No", None, "Here") for i in ids],
                                   "patient_id string, county string, case_closed string, notification_status string, state string")
-    return covid.classification_report(df, cases, **options)
+    def whole(frame, columns):
+        return frame.withColumns({c: F.lit(None).cast("string") for c in columns if c not in frame.columns})
+
+    return covid.classification_report(whole(df, covid.LAB_COLUMNS), whole(cases, covid.CASE_COLUMNS), **options)
 
 
 def test_covid_classification(spark):
@@ -168,7 +171,8 @@ def feed(spark, rows_):
 
 
 def aggregate(feeds, **options):
-    return facilities.facility_aggregate(facilities.weekly_statistics(feeds, **options))
+    names = facilities.weekly_rows(feeds)
+    return facilities.facility_aggregate(names, facilities.weekly_statistics(names, **options))
 
 
 def weeks_of(facility, counts):
@@ -198,7 +202,8 @@ def test_silence_and_lag(spark):
     assert out["slow"].average_lag == 30.0 and out["slow"].labs_by_week == 2
     strict = aggregate(feed(spark, data), null_mode="propagate").collect()
     assert {r.facility_clean: r.average_lag for r in strict}["slow"] is None
-    flagged = facilities.flagged_facilities(facilities.weekly_statistics(feed(spark, data))).collect()
+    names = facilities.weekly_rows(feed(spark, data))
+    flagged = facilities.flagged_facilities(names, facilities.weekly_statistics(names)).collect()
     assert sorted((r.facility_clean, r.abnormal_lag) for r in flagged) == [("quiet", "Normal"), ("slow", "Flag")]
 
 
@@ -287,7 +292,7 @@ def test_classification_rate(spark, rows):
 
 def test_series_against_targets(spark, rows):
     df = spark.createDataFrame([("A", 2022, 1, "Q1(n=4)", 0.8, 85.0)], "region string, year int, quarter int, label string, var1 double, var8 double")
-    out = indicators.against_targets(indicators.indicator_series(df, ["var1", "var8"], fractions=["var1"]))
+    out = indicators.against_targets(indicators.indicator_series(df, ["var1", "var8"]))
     assert rows(out, "variable", "percent", "target", "meets_target") == [("var1", 80.0, 80.0, True), ("var8", 85.0, 90.0, False)]
 
 
@@ -296,3 +301,87 @@ def test_completeness(spark, rows):
                                   "region string, day date, onset string, died string")
     out = indicators.quarter_completeness(facts, "day", {"var1": "onset", "var2": "died"}, by=["region"])
     assert rows(out) == [("A", 2022, 1, 2, 0.5, 0.0, 0.25)]
+
+
+def test_facilities_without_a_name_are_a_hot_group(spark, tmp_path):
+    """A third of the rows without facility and reporter, from many senders: one row per week in the windows, skew-safe names."""
+    hot = [(None, None, f"s{i % 40}", i % 90, 1 + i % 3, "ab"[i % 2]) for i in range(600)]
+    cold = [(f"f{i % 50}", "r", "s", i % 90, 2, "t") for i in range(1200)]
+    feeds = feed(spark, hot + cold)
+    path = str(tmp_path / "names")
+    facilities.weekly_rows(feeds).write.parquet(path)
+    names = spark.read.parquet(path)
+    weekly = facilities.weekly_statistics(names)
+    assert weekly.filter("facility_clean is null").count() == len({back // 7 for _, _, _, back, _, _ in hot})
+    out = facilities.facility_aggregate(names, weekly)
+    assert out.filter("reporting_clean is null").count() == names.filter("facility_clean is null").count()
+    assert names.agg({"n": "sum"}).first()[0] == len(hot + cold)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(" not in plan and "collect_list" not in plan
+
+
+def test_feeds_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "feeds")
+    feed(spark, [("f", "r", "s", i, 1, "t") for i in range(20)]).write.parquet(path)
+    plan = facilities.weekly_rows(spark.read.schema(FEED).parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_missing_columns_are_an_error(spark):
+    labs = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.LAB_COLUMNS[:-1]))
+    cases = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.CASE_COLUMNS))
+    with pytest.raises(ValueError, match="result_date"):
+        covid.classification_report(labs, cases)
+
+
+SHEET_SCHEMA = "sheet_id string, row_no bigint, c1 string, c2 string, c3 string, c4 string"
+
+
+def timely(spark, rows_):
+    sheets = spark.createDataFrame([("s", i, *r) for i, r in enumerate(rows_, 1)], SHEET_SCHEMA)
+    return indicators.timeliness_from_sheets(sheets, ["year", "quarter", "n_pass", "n"], 1, ["year", "quarter"])
+
+
+def test_sheet_numbers_printed_as_decimals(spark, rows):
+    head, total, blank = ("Year", "Quarter", "Pass", "N"), ("Column Total", None, "9", "9"), (None, None, None, None)
+    plain = [head, ("2022", "1", "3", "4"), (None, "2", "5", "5"), total, blank]
+    decimal = [head, ("2022.0", "1.0", "3.0", "4"), (None, "2.0", "5", "5.0"), total, blank]
+    want = [("s", 2022, 1, 3, 4), ("s", 2022, 2, 5, 5)]
+    assert rows(timely(spark, plain)) == rows(timely(spark, decimal)) == want
+
+
+@pytest.mark.parametrize("bad", [("2022", "first", "3", "4"), ("2022", "1.5", "3", "4"), ("twenty", "1", "3", "4"), ("2022", None, "3", "4"), ("2022", "1", "3", "n/a")])
+def test_sheet_rows_that_do_not_parse_are_errors(spark, bad):
+    with pytest.raises(Exception, match="whole number|a row without"):
+        timely(spark, [("Year", "Quarter", "Pass", "N"), bad]).collect()
+
+
+def test_grids_hold_absent_quarters(spark, rows):
+    cells = spark.createDataFrame([(2022, 1), (2022, 2)], "year int, quarter int")
+    counts = spark.createDataFrame([("s", 2022, 1, 3, 4)], "sheet_id string, year int, quarter int, n_pass bigint, n bigint")
+    out = indicators.timeliness_grid(counts, cells, (2024, 3), "var8")
+    assert rows(out, "quarter", "n", "label", "var8", "rownum") == [(1, 4, "Q1-'22(n=4)", 75.0, 1), (2, 0, "Q2-'22(n=0)", None, 2)]
+
+
+def test_cases_of_the_season_are_found_once(spark, tmp_path):
+    from workload import flu_queries
+    from __spark_entry__ import SMOKE_DIR
+
+    df = flu_queries.flu_season_qc(spark, SMOKE_DIR)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("o_orderkey") == 0  # the written cases alone
+    records = flu_queries.typing_join(spark, SMOKE_DIR)
+    assert records._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey") == 0
+
+
+def test_sorted_report_is_in_order(spark, tmp_path):
+    from surveil.sources import writers
+
+    df = spark.createDataFrame([("b", "x", 2000, 2), ("a", "y", 2001, 1), ("a", "y", 2001, 7), (None, "y", 1999, 1), ("a", None, 2001, 9)],
+                               "facility_clean string, reporting_clean string, mmwr_year int, mmwr_week int")
+    out = facilities.sorted_for_report(df.repartition(4))
+    want = [(None, "y", 1999, 1), ("a", None, 2001, 9), ("a", "y", 2001, 7), ("a", "y", 2001, 1), ("b", "x", 2000, 2)]
+    assert [tuple(r) for r in out.collect()] == want
+    writers.write_report(out.coalesce(1), str(tmp_path / "r"), date(2024, 1, 1), "csv")
+    lines = (p for p in sorted((tmp_path / "r" / "as_of=2024-01-01").glob("part-*.csv")))
+    text = "".join(p.read_text().split("\n", 1)[1] for p in lines)
+    assert [line.split(",")[3] for line in text.splitlines()] == ['"1"', '"9"', '"7"', '"1"', '"2"']

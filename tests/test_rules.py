@@ -216,4 +216,5 @@ def test_comment_coinfection(spark, comment, expected):
 def test_targets(spark):
     assert one(spark, "p double, t double", (80.0, 80.0), rules.meets_target("p", "t")) is True
     assert one(spark, "p double, t double", (None, 80.0), rules.meets_target("p", "t")) is None
-    assert codes.TARGETS["var6"] == 100 and len(codes.TARGETS) == 11
+    assert codes.INDICATORS["var6"] == (100, "fraction") and len(codes.INDICATORS) == 11
+    assert sorted({t for t, _ in codes.INDICATORS.values()}) == [80, 90, 95, 100]

@@ -8,7 +8,8 @@ from surveil.sources import readers, writers
 
 def test_awkward_text_survives_csv(spark, tmp_path, rows):
     schema = "i int, t string"
-    data = [(1, 'a "quoted" name, Inc.'), (2, "two\nlines"), (3, None), (4, ""), (5, "back\\slash"), (6, "'; x|y\t")]
+    data = [(1, 'a "quoted" name, Inc.'), (2, "two\nlines"), (3, None), (4, ""), (5, "back\\slash"), (6, "'; x|y\t"),
+            (7, "N"), (8, "a\\N")]
     df = spark.createDataFrame(data, schema)
     path = str(tmp_path / "out")
     writers.write_csv(df, path)
@@ -16,15 +17,29 @@ def test_awkward_text_survives_csv(spark, tmp_path, rows):
     assert rows(writers.read_csv(spark, path, schema)) == data
 
 
-def test_extract_reads_one_month_only(spark, tmp_path, rows):
+def test_null_token_survives_csv(spark, tmp_path, rows):
+    data = [(1, "\\N"), (2, None), (3, ""), (4, "\\\\N"), (5, "\\\\\\N"), (6, "N"), (7, "\\NN"), (8, "x\\N"), (9, "\\N\nx")]
+    path = str(tmp_path / "out")
+    writers.write_csv(spark.createDataFrame(data, "i int, `t.x` string"), path, max_records=2)
+    assert rows(writers.read_csv(spark, path, "i int, `t.x` string")) == data
+    assert len(list((tmp_path / "out").glob("part-*.csv"))) >= 5
+
+
+def test_extract_holds_all_seasons_of_its_month(spark, tmp_path, rows):
     base = str(tmp_path / "history")
-    df = spark.createDataFrame([(1, date(2023, 12, 31)), (2, date(2024, 1, 5)), (3, date(2024, 2, 5))], "i int, d date")
-    writers.write_period_extracts(df, base, "d")
-    out = readers.read_period_extract(spark, base, ReportPeriod(date(2024, 1, 4)))  # week 1 of 2024
-    assert rows(out, "i") == [(1,)]
-    assert len(out.inputFiles()) >= 1
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan
+    january, march = ReportPeriod(date(2024, 1, 31)), ReportPeriod(date(2024, 3, 31))
+    df = spark.createDataFrame([(1, date(2019, 12, 31)), (2, date(2024, 1, 5)), (3, date(2022, 2, 5))], "i int, d date")
+    writers.write_period_extract(df, base, january)
+    writers.write_period_extract(df.filter("i = 1"), base, march)
+    out = readers.read_period_extract(spark, base, january)
+    assert rows(out, "i") == [(1,), (2,), (3,)] and rows(readers.read_period_extract(spark, base, march), "i") == [(1,)]
+    assert all("year=2024/month=1" in f for f in out.inputFiles())
+    writers.write_period_extract(df.filter("i = 2"), base, january)
+    assert rows(readers.read_period_extract(spark, base, january), "i") == [(2,)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        readers.read_period_extract(spark, base, ReportPeriod(date(2024, 6, 30)))
+    with pytest.raises(ValueError):
+        writers.write_period_extract(df.withColumnRenamed("d", "year"), base, march)
 
 
 def test_reports_of_other_dates_are_kept(spark, tmp_path, rows):
@@ -56,6 +71,13 @@ def test_scratch_is_in_the_shared_folder(spark):
     a, b = writers.scratch_folder(spark, "t"), writers.scratch_folder(spark, "t")
     assert a.startswith(shared) and a != b
 
+    class Unset:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None), "master": "local[2]"})
+
+    with pytest.raises(ValueError):
+        writers.scratch_folder(Unset, "t")
+
 
 def test_date_range_and_columns_reach_the_scan(spark, tmp_path):
     from surveil.functions.periods import within

@@ -7,6 +7,7 @@ codes, patterns and nulls of the rules occur and the work grows with the tables.
 
 from __future__ import annotations
 
+import tempfile
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from surveil.functions import codes
 from surveil.functions.periods import ReportPeriod
 from surveil.sources.readers import read_table
+from surveil.sources.writers import scratch_folder
 
 PERIOD = ReportPeriod(date(2001, 6, 30))
 STATE = "AMERICA"
@@ -89,13 +91,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet", SCHEMAS[name])
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A scratch folder in the session's shared folder; a session without one, as in tests, gets its own."""
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="surveil-"))
+    return scratch_folder(spark, name)
+
+
+def kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table that several parts of a query need, written once and read back."""
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def covid_labs(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("patient_id"),
         F.to_date("l_shipdate").alias("lab_date"),
         pick(COVID_STATUSES, F.col("l_orderkey") % 6).alias("disease_status"),
+        F.date_sub(F.to_date("l_shipdate"), 2).alias("specimen_date"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("specimen_id"),
+        F.when(F.col("l_linenumber") != 7, F.date_sub(F.to_date("l_shipdate"), 1)).alias("specimen_received_date"),
         F.col("l_linestatus").alias("specimen_source"),
+        F.concat(F.lit("A"), F.col("l_suppkey").cast("string")).alias("accession_number"),
+        F.to_date("l_shipdate").alias("result_date"),
         pick(COVID_TEST_NAMES, F.col("l_partkey") % len(COVID_TEST_NAMES)).alias("test"),
         pick(COVID_RESULTS, (F.col("l_suppkey") + F.col("l_linenumber")) % len(COVID_RESULTS)).alias("result"),
         pick(COVID_VALUES, F.col("l_quantity").cast("int") % len(COVID_VALUES)).alias("result_value"),
@@ -153,7 +177,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def covid_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases(spark, sf_dir).select(
-        F.col("case_id").alias("patient_id"), "county", "case_closed", "notification_status", "state"
+        F.col("case_id").alias("patient_id"), F.lit("COVID-19").alias("disease"), "county", "case_closed", "notification_status", "state"
     )
 
 
@@ -196,7 +220,9 @@ def feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 SQL_COVID_LABS = f"""covid_labs AS (
   SELECT l_orderkey AS patient_id, CAST(l_shipdate AS DATE) AS lab_date,
          {sql_pick(COVID_STATUSES, "l_orderkey % 6")} AS disease_status,
-         l_linestatus AS specimen_source,
+         CAST(l_shipdate AS DATE) - 2 AS specimen_date, l_orderkey * 8 + l_linenumber AS specimen_id,
+         CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) - 1 END AS specimen_received_date,
+         l_linestatus AS specimen_source, 'A' || l_suppkey AS accession_number, CAST(l_shipdate AS DATE) AS result_date,
          {sql_pick(COVID_TEST_NAMES, f"l_partkey % {len(COVID_TEST_NAMES)}")} AS test,
          {sql_pick(COVID_RESULTS, f"(l_suppkey + l_linenumber) % {len(COVID_RESULTS)}")} AS result,
          {sql_pick(COVID_VALUES, f"CAST(l_quantity AS INT) % {len(COVID_VALUES)}")} AS result_value
@@ -223,7 +249,7 @@ SQL_CASES = """cases AS (
        JOIN region ON n_regionkey = r_regionkey)"""
 
 SQL_COVID_CASES = SQL_CASES + """, covid_cases AS (
-  SELECT case_id AS patient_id, county, case_closed, notification_status, state FROM cases)"""
+  SELECT case_id AS patient_id, 'COVID-19' AS disease, county, case_closed, notification_status, state FROM cases)"""
 
 SQL_FEEDS = """feeds AS (
   SELECT CAST(l_shipdate AS DATE) AS sending_date,

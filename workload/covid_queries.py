@@ -41,7 +41,7 @@ MONTH = "lab_date BETWEEN DATE '2001-05-01' AND DATE '2001-05-31'"
 def report_sql(where: str, case_where: str) -> str:
     return f"""WITH {b.SQL_COVID_LABS}, {b.SQL_COVID_CASES},
     joined AS (
-      SELECT DISTINCT l.*, county, case_closed, notification_status, {INDICATORS}, {INCONCLUSIVE} AS inconclusive_qc
+      SELECT DISTINCT l.*, disease, county, case_closed, notification_status, {INDICATORS}, {INCONCLUSIVE} AS inconclusive_qc
       FROM covid_labs l JOIN covid_cases c ON l.patient_id = c.patient_id WHERE {KNOWN} AND {where} AND {case_where}),
     t AS (
       SELECT *, count(*) OVER w AS total_tests, CAST(sum(rna_positive) OVER w AS BIGINT) AS total_rna,
@@ -100,7 +100,7 @@ def previous_month_bounds(spark, sf_dir):
 @query(
     "cases_labs_distinct",
     f"""WITH {b.SQL_COVID_LABS}, {b.SQL_COVID_CASES}
-    SELECT DISTINCT l.*, county, case_closed, notification_status, state
+    SELECT DISTINCT l.*, disease, county, case_closed, notification_status, state
     FROM covid_labs l JOIN covid_cases c ON l.patient_id = c.patient_id WHERE state = '{b.STATE}'""",
 )
 def cases_labs_distinct(spark, sf_dir):

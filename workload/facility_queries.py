@@ -120,12 +120,11 @@ STATS_SQL = f"""WITH {b.SQL_FEEDS}, {b.SQL_CLEAN}"""
 )
 def facility_lag_stats(spark, sf_dir):
     clean = facilities.clean_rows(b.all_feeds(spark, sf_dir))
-    skip = aggregates.lag_stats(clean, facilities.FACILITY, "lag_days")
-    strict = aggregates.lag_stats(clean, facilities.FACILITY, "lag_days", "propagate").select(
-        *facilities.FACILITY, F.round("average_lag", 6).alias("average_lag_strict")
+    stats = aggregates.lag_stats(clean, facilities.FACILITY, "lag_days", ["skip", "propagate"])
+    return stats.select(
+        *facilities.FACILITY, F.round("average_lag_skip", 6).alias("average_lag"), F.round("sd_lag_skip", 6).alias("sd_lag"),
+        F.round("average_lag_propagate", 6).alias("average_lag_strict"),
     )
-    both = joins.natural_left_join(skip, strict)
-    return both.withColumns({c: F.round(c, 6) for c in ("average_lag", "sd_lag")})
 
 
 @query(
@@ -226,6 +225,11 @@ FACILITY_SQL = STATS_SQL + """, stats AS (
 """
 
 
+def weekly_rows(spark, sf_dir):
+    """The reduced rows, written once for the statistics, the scalars and the names."""
+    return b.kept(spark, facilities.weekly_rows(b.all_feeds(spark, sf_dir)), "weekly-rows")
+
+
 @query(
     "facility_aggregate",
     FACILITY_SQL
@@ -236,7 +240,8 @@ FACILITY_SQL = STATS_SQL + """, stats AS (
       ORDER BY test, sending_facility, observation_type) = 1""",
 )
 def facility_aggregate(spark, sf_dir):
-    out = facilities.facility_aggregate(facilities.weekly_statistics(b.all_feeds(spark, sf_dir)))
+    names = weekly_rows(spark, sf_dir)
+    out = facilities.facility_aggregate(names, facilities.weekly_statistics(names))
     return out.withColumns({c: F.round(c, 6) for c in ("average_lag", "sd_lag", "rolling_mean", "rolling_sd")})
 
 
@@ -251,7 +256,8 @@ def facility_aggregate(spark, sf_dir):
       ORDER BY week_ending DESC, disease, test, sending_facility, observation_type) = 1""",
 )
 def flagged_facilities(spark, sf_dir):
-    out = facilities.flagged_facilities(facilities.weekly_statistics(b.all_feeds(spark, sf_dir)))
+    names = weekly_rows(spark, sf_dir)
+    out = facilities.flagged_facilities(names, facilities.weekly_statistics(names))
     return out.withColumns({c: F.round(c, 6) for c in ("rolling_mean", "rolling_sd")})
 
 
@@ -268,7 +274,7 @@ def flagged_facilities(spark, sf_dir):
 )
 def weekly_volume_all_years(spark, sf_dir):
     """Same week of all years added up, as the rule was written, with a trailing mean."""
-    out = facilities.weekly_statistics(b.all_feeds(spark, sf_dir), order="asc", include_year=False)
+    out = facilities.weekly_statistics(weekly_rows(spark, sf_dir), order="asc", include_year=False)
     return out.select(*facilities.WEEK, "labs_by_week", F.round("rolling_mean", 6).alias("rolling_mean"))
 
 

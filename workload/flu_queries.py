@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from surveil.functions import codes, periods, rules, text, typing
 from surveil.operators import aggregates, joins, setops
 from surveil.plans import influenza as flu
+from surveil.sources.readers import read_period_extract
+from surveil.sources.writers import write_period_extract
 from workload import bindings as b
 from workload.registry import query
 
@@ -133,7 +135,9 @@ def flu_case_qc(spark, sf_dir):
 @query("flu_season_qc", _check_sql(SEASON_CASES))
 def flu_season_qc(spark, sf_dir):
     """The weekly report: this season's cases of one jurisdiction."""
-    return flu.case_check(b.flu_labs(spark, sf_dir), b.cases(spark, sf_dir), b.PERIOD, b.STATE)
+    return flu.case_check(
+        b.flu_labs(spark, sf_dir), b.cases(spark, sf_dir), b.PERIOD, b.STATE, keep=lambda df: b.kept(spark, df, "season-cases")
+    )
 
 
 @query(
@@ -246,7 +250,8 @@ def report_category_as_written(spark, sf_dir):
 )
 def typing_join(spark, sf_dir):
     """The typing results of a case, rendered as text, on all its records."""
-    rows = _records(spark, sf_dir).select(
+    records = b.kept(spark, _records(spark, sf_dir), "records")
+    rows = records.select(
         "party_id", "case_id", "specimen_date", "test", "result", "result_value", "local_description", "comments"
     )
     typing_text = F.transform(
@@ -256,7 +261,7 @@ def typing_join(spark, sf_dir):
             F.coalesce(t.report_category, F.lit("")), t.n_typed.cast("string"),
         ),
     )
-    nested = flu.rows_with_typing(rows, _typed(spark, sf_dir)).drop("party_id")
+    nested = flu.rows_with_typing(rows, flu.typed(records)).drop("party_id")
     return nested.withColumn("typing", F.array_join(typing_text, "; "))
 
 
@@ -279,6 +284,18 @@ def typing_rows_by_result(spark, sf_dir):
     )
 
 
+@query(
+    "typing_rows_as_written",
+    ALL + """ SELECT t.flu_type, t.subtype, count(*) AS n
+    FROM records r LEFT JOIN typed t ON r.party_id = t.party_id AND r.case_id = t.case_id GROUP BY ALL""",
+)
+def typing_rows_as_written(spark, sf_dir):
+    """The plain join's rows: every typing result as often as it was found."""
+    records = b.kept(spark, _records(spark, sf_dir), "records")
+    nested = flu.rows_with_typing(records.select("party_id", "case_id", "test"), flu.typed(records))
+    return aggregates.count_rows(joins.typing_rows(nested, dedupe=False), ["flu_type", "subtype"])
+
+
 # ---- co-infections -------------------------------------------------------------------
 
 @query("coinfection_by_date", f"{ALL}, {BY_DATE} SELECT * FROM by_date")
@@ -341,7 +358,7 @@ def typing_summary(spark, sf_dir):
 )
 def typing_summary_as_written(spark, sf_dir):
     """Cases found twice listed twice, and every co-infection row showing the list's length."""
-    typed = _typed(spark, sf_dir)
+    typed = b.kept(spark, _typed(spark, sf_dir), "typed")
     found = flu.coinfections(typed, as_written=True)
     recoded = flu.recode_coinfections(typed, found, as_written=True)
     return aggregates.typing_summary(recoded, found, as_written=True)
@@ -370,6 +387,25 @@ def season_comparison(spark, sf_dir):
     return flu.season_comparison(cases, cases, b.PERIOD)
 
 
+@query(
+    "season_report",
+    f"""{ALL}, s AS (
+      SELECT {SEASON} AS season, {b.sql_mmwr_year('event_date')} AS mmwr_year,
+             {b.sql_mmwr_week('event_date')} AS mmwr_week FROM typed),
+    w AS (SELECT season, mmwr_year, mmwr_week, count(*) AS weekly_count FROM s WHERE season IS NOT NULL GROUP BY ALL),
+    c AS (SELECT *, CAST(sum(weekly_count) OVER (PARTITION BY season ORDER BY mmwr_year, mmwr_week
+            ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_count FROM w)
+    SELECT * FROM c WHERE mmwr_week = {b.PERIOD.previous_epi_week[1]}""",
+)
+def season_report(spark, sf_dir):
+    """Typed rows of all seasons through the history writer and reader into the comparison of six seasons."""
+    typed = _typed(spark, sf_dir)
+    base = b.scratch(spark, "history")
+    write_period_extract(typed, base, b.PERIOD)
+    history = read_period_extract(spark, base, b.PERIOD)
+    return flu.season_comparison(history, history, b.PERIOD)
+
+
 @query(
     "season_weeks",
     f"""WITH {b.SQL_CASES}, s AS (

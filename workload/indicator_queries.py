@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from surveil.functions import codes, nulls, text
+from surveil.functions.periods import ReportPeriod
 from surveil.operators import joins, reshape, windows
 from surveil.plans import indicators as ind
 from surveil.sources import readers, writers
@@ -117,21 +120,47 @@ def completeness_grid(spark, sf_dir):
     return cells.withColumns({c: F.round(c, 6) for c in (*FIELDS, "complete_pct_avg")})
 
 
+# Every indicator as a flag of the case: (Spark condition, SQL condition). Those in percent are printed times 100.
+FLAGS = {
+    "var1": "died IS NOT NULL", "var2": "notification_status IS NOT NULL", "var3": "disease_status IS NOT NULL",
+    "var4": "case_id % 4 <> 0", "var5": "party_id % 9 <> 0", "var6": "disease_status = 'Confirmed'", "var7": "case_id % 7 <> 0",
+    "var8": "case_closed = 'Yes'", "var9": "party_id % 11 <> 0", "pct_CDC": "case_id % 25 <> 0",
+    "pct_class_correct": "died IS NULL",
+}
+assert list(FLAGS) == list(codes.INDICATORS)
+
+
+def _targets_sql(region: str, full: str) -> str:
+    units = {v: 100 if codes.INDICATORS[v][1] == "percent" else 1 for v in FLAGS}
+    cells = ", ".join(f"count(*) FILTER ({c}) / count(*) AS {v}" for v, c in FLAGS.items())
+    names = ", ".join(f"'{v}'" for v in FLAGS)
+    goals = ", ".join(f"{codes.INDICATORS[v][0]}::DOUBLE" for v in FLAGS)
+    return f"""SELECT region, year, quarter, {label_sql('n')} AS label, unnest([{names}]) AS variable,
+      unnest([{', '.join(FLAGS)}]) * 100 AS percent, unnest([{goals}]) AS target
+    FROM (SELECT g.region, g.year, g.quarter, coalesce(n, 0) AS n, {', '.join(f'f.{v}' for v in units)}
+      FROM {full} g LEFT JOIN (
+        SELECT {region} AS region, CAST(year(event_date) AS INTEGER) AS year, CAST(quarter(event_date) AS INTEGER) AS quarter,
+               count(*) AS n, {cells} FROM cases GROUP BY ALL) f
+      ON g.region = f.region AND g.year = f.year AND g.quarter = f.quarter)"""
+
+
 @query(
     "targets_met",
-    f"""WITH {COMPLETE}, dense AS (
-      SELECT g.region, g.year, g.quarter, coalesce(n, 0) AS n, var1, var2, var3
-      FROM grid g LEFT JOIN filled f ON g.region = f.region AND g.year = f.year AND g.quarter = f.quarter),
-    long AS (SELECT region, year, quarter, {label_sql('n')} AS label,
-                    unnest(['var1', 'var2', 'var3']) AS variable, unnest([var1, var2, var3]) * 100 AS percent FROM dense)
-    SELECT region, year, quarter, label, variable, round(percent, 6) AS percent, 80.0::DOUBLE AS target,
-           percent >= 80 AS meets_target FROM long""",
+    f"""WITH {b.SQL_CASES}, {GRID}, whole AS (SELECT DISTINCT 'State' AS region, year, quarter FROM grid),
+    long AS ({_targets_sql('state', 'grid')} UNION ALL {_targets_sql("'State'", 'whole')})
+    SELECT region, year, quarter, label, variable, round(percent, 6) AS percent, target,
+           round(percent, 6) >= target AS meets_target FROM long""",
 )
 def targets_met(spark, sf_dir):
-    shares = ind.quarter_completeness(facts(spark, sf_dir), "event_date", FIELDS, by=["region"])
-    cells = ind.labelled_grid(shares, region_grid(spark), CURRENT)
-    series = ind.indicator_series(cells, list(FIELDS), fractions=list(FIELDS))
-    return ind.against_targets(series).withColumn("percent", F.round("percent", 6))
+    """All indicators of both scopes against their targets; target and unit come from one table."""
+    cases = b.cases(spark, sf_dir)
+    flagged = cases.select("event_date", F.col("state").alias("region"), *[F.when(F.expr(c), 1).alias(v) for v, c in FLAGS.items()])
+    flagged = flagged.unionByName(flagged.withColumn("region", F.lit("State")))
+    shares = ind.quarter_completeness(flagged, "event_date", {v: v for v in FLAGS}, by=["region"])
+    shares = shares.withColumns({v: F.col(v) * 100 for v, (_, unit) in codes.INDICATORS.items() if unit == "percent"})
+    full = joins.grid(spark, region=[*REGIONS, "State"], year=YEARS, quarter=QUARTERS)
+    series = ind.indicator_series(ind.labelled_grid(shares, full, CURRENT), list(FLAGS))
+    return ind.against_targets(series.withColumn("percent", F.round("percent", 6)))
 
 
 # ---- classification ------------------------------------------------------------------
@@ -283,19 +312,24 @@ TIMELY_COLUMNS = ["c1", "c2", "c3", "c4", "c5"]
 
 def timeliness_sheets(spark, sf_dir) -> DataFrame:
     """One sheet per region as exported: a title, a header, the region and each year printed
-    once, '.' for the blanks, and a total row."""
+    once, '.' for the blanks, a total row, and every other number as a decimal."""
+    counts = b.kept(spark, region_counts(spark, sf_dir), "counts")
+
+    def printed(c: str, decimal):
+        return F.when(decimal, F.col(c).cast("double").cast("string")).otherwise(F.col(c).cast("string"))
+
     in_sheet = Window.partitionBy("region").orderBy("year", "quarter")
     in_year = Window.partitionBy("region", "year").orderBy("quarter")
-    body = region_counts(spark, sf_dir).select(
+    body = counts.select(
         F.col("region").alias("sheet_id"),
         (F.row_number().over(in_sheet) + 2).cast("bigint").alias("row_no"),
         F.when(F.row_number().over(in_sheet) == 1, F.col("region")).alias("c1"),
-        F.when(F.row_number().over(in_year) == 1, F.col("year").cast("string")).alias("c2"),
-        F.col("quarter").cast("string").alias("c3"),
+        F.when(F.row_number().over(in_year) == 1, printed("year", F.col("year") % 2 == 0)).alias("c2"),
+        printed("quarter", (F.col("year") + F.col("quarter")) % 2 == 0).alias("c3"),
         F.col("n_pass").cast("string").alias("c4"),
         F.col("n").cast("double").cast("string").alias("c5"),
     )
-    sums = region_counts(spark, sf_dir).groupBy(F.col("region").alias("sheet_id")).agg(
+    sums = counts.groupBy(F.col("region").alias("sheet_id")).agg(
         F.sum("n_pass").cast("string").alias("c4"), F.sum("n").cast("string").alias("c5")
     )
     total = sums.select(
@@ -316,7 +350,7 @@ def timeliness_sheets(spark, sf_dir) -> DataFrame:
 
 def exported(spark, sheets: DataFrame, columns: list[str]) -> DataFrame:
     """The sheets written as CSV export and read back, with '.' for missing cells."""
-    path = writers.scratch_folder(spark, "sheets")
+    path = b.scratch(spark, "sheets")
     sheets.write.csv(path, nullValue=".")
     return readers.read_sheet_csv(spark, path, columns)
 
@@ -330,6 +364,43 @@ def header_repair(spark, sf_dir):
     )
 
 
+def _rates_sql(keys: str, counts: str) -> str:
+    on = " AND ".join(f"g.{k} = c.{k}" for k in keys.split(", "))
+    return f"""SELECT *, {label_sql('n', YEAR_SUFFIX)} AS label, round(100.0 * n_pass / nullif(n, 0), 6) AS var8,
+      CAST(row_number() OVER (ORDER BY {keys}) AS INTEGER) AS rownum
+    FROM (SELECT {', '.join('g.' + k for k in keys.split(', '))}, coalesce(n, 0) AS n, n_pass
+          FROM (SELECT DISTINCT {keys} FROM grid) g LEFT JOIN {counts} c ON {on})"""
+
+
+@query("timeliness_grid", f"WITH {COUNTS}, {GRID} " + _rates_sql("region, year, quarter", "counts"))
+def timeliness_grid(spark, sf_dir):
+    """Timely cases from exported sheets: repaired, on the full grid, with label, percent and row number."""
+    counts = b.kept(spark, header_repair(spark, sf_dir), "repaired")
+    return ind.timeliness_grid(counts, region_grid(spark), CURRENT, "var8").withColumn("var8", F.round("var8", 6))
+
+
+STATE_COUNTS = """s AS (SELECT year, quarter, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n_pass) AS BIGINT) AS n_pass
+                         FROM counts GROUP BY ALL)"""
+
+
+@query("timeliness_grid_state", f"WITH {COUNTS}, {GRID}, {STATE_COUNTS} " + _rates_sql("year, quarter", "s"))
+def timeliness_grid_state(spark, sf_dir):
+    """The same for the state, from one sheet without regions."""
+    counts = b.kept(spark, ind.quarter_counts(facts(spark, sf_dir), "event_date", F.col("disease_status") == "Confirmed"), "counts")
+    first = F.row_number().over(Window.partitionBy("year").orderBy("quarter")) == 1
+    body = counts.select(
+        F.lit("state").alias("sheet_id"), (F.col("year") * 10 + F.col("quarter")).cast("bigint").alias("row_no"),
+        F.when(first, F.col("year").cast("double").cast("string")).alias("c1"), F.col("quarter").cast("double").cast("string").alias("c2"),
+        F.col("n_pass").cast("string").alias("c3"), F.col("n").cast("string").alias("c4"),
+    )
+    rows = [("state", 1, "Year", "Quarter", "Pass", "N"), ("state", 99_999, "Column Total", None, "1", "1")]
+    edges = spark.createDataFrame(rows, "sheet_id string, row_no bigint, c1 string, c2 string, c3 string, c4 string")
+    sheets = exported(spark, body.unionByName(edges), ["c1", "c2", "c3", "c4"])
+    read = ind.timeliness_from_sheets(sheets, ["year", "quarter", "n_pass", "n"], 1, ["year", "quarter"])
+    full = joins.grid(spark, year=YEARS, quarter=QUARTERS)
+    return ind.timeliness_grid(b.kept(spark, read, "repaired"), full, CURRENT, "var8").withColumn("var8", F.round("var8", 6))
+
+
 @query(
     "header_fallback",
     f"""WITH {COUNTS}, f AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY year, quarter) = 1 AS top FROM counts)
@@ -350,9 +421,9 @@ def header_fallback(spark, sf_dir):
     )
 
 
-def tabulation_sheets(spark, sf_dir) -> DataFrame:
+def tabulation_sheets(spark, sf_dir, counts: DataFrame | None = None) -> DataFrame:
     """One sheet per region and quarter: four header rows, then rowmiss, pass and Total."""
-    counts = region_counts(spark, sf_dir).withColumn("sheet_id", ind.quarter_key("region", "year", "quarter"))
+    counts = (region_counts(spark, sf_dir) if counts is None else counts).withColumn("sheet_id", ind.quarter_key("region", "year", "quarter"))
     cells = [
         ("title", F.col("region"), None),
         (None, F.lit("Year"), None),
@@ -385,6 +456,34 @@ def pass_rate_sheets(spark, sf_dir):
     return rates.select("region", "year", "quarter", "n", F.round("var6", 6).alias("var6"))
 
 
+@query(
+    "pass_rate_grid",
+    f"""WITH {DENSE} SELECT region, year, quarter, n, round(round(100.0 * n_pass / nullif(n, 0), 4) / 100, 6) AS var6,
+      {label_sql('n')} AS label FROM dense""",
+)
+def pass_rate_grid(spark, sf_dir):
+    """Pass rates of the tabulations on the full grid: absent quarters have n 0 and no rate."""
+    sheets = exported(spark, tabulation_sheets(spark, sf_dir), ["c1", "c2", "c3"])
+    header = {"region": (1, "c2"), "year": (3, "c2"), "quarter": (4, "c2")}
+    return ind.pass_rate_grid(sheets, 4, region_grid(spark), CURRENT, **header).withColumn("var6", F.round("var6", 6))
+
+
+@query(
+    "pass_rate_grid_state",
+    f"""WITH {COUNTS}, {GRID}, {STATE_COUNTS}, dense AS (
+      SELECT g.year, g.quarter, coalesce(n, 0) AS n, n_pass FROM (SELECT DISTINCT year, quarter FROM grid) g
+      LEFT JOIN s ON g.year = s.year AND g.quarter = s.quarter)
+    SELECT year, quarter, n, round(round(100.0 * n_pass / nullif(n, 0), 4) / 100, 6) AS var6, {label_sql('n')} AS label FROM dense""",
+)
+def pass_rate_grid_state(spark, sf_dir):
+    """The same for the state, whose sheets have no region."""
+    counts = ind.quarter_counts(facts(spark, sf_dir), "event_date", F.col("disease_status") == "Confirmed")
+    sheets = exported(spark, tabulation_sheets(spark, sf_dir, counts.withColumn("region", F.lit("State"))), ["c1", "c2", "c3"])
+    full = joins.grid(spark, year=YEARS, quarter=QUARTERS)
+    out = ind.pass_rate_grid(sheets, 4, full, CURRENT, year=(3, "c2"), quarter=(4, "c2"))
+    return out.withColumn("var6", F.round("var6", 6))
+
+
 @query(
     "completeness_sheets",
     f"""WITH {COMPLETE}, dense AS (
@@ -415,28 +514,29 @@ def completeness_sheets(spark, sf_dir):
 
 # ---- sources and sinks ---------------------------------------------------------------
 
-@query(
-    "period_extract",
-    f"""WITH {b.SQL_CASES} SELECT case_id, event_date, state FROM cases
-    WHERE year(event_date) = {b.PERIOD.extract_month()[0]} AND month(event_date) = {b.PERIOD.extract_month()[1]}""",
-)
+@query("period_extract", f"WITH {b.SQL_CASES} SELECT case_id, event_date, state FROM cases")
 def period_extract(spark, sf_dir):
-    """A history dataset written by month, and the report month read back from it."""
-    base = writers.scratch_folder(spark, "history")
-    writers.write_period_extracts(b.cases(spark, sf_dir), base, "event_date")
+    """Two history extracts written, and that of the report month read back whole."""
+    base = b.scratch(spark, "history")
+    cases = b.cases(spark, sf_dir)
+    writers.write_period_extract(cases, base, b.PERIOD)
+    writers.write_period_extract(cases.filter(F.year("event_date") < 1998), base, ReportPeriod(date(2001, 5, 31)))
     return readers.read_period_extract(spark, base, b.PERIOD).select("case_id", "event_date", "state")
 
 
 @query(
     "report_roundtrip",
     f"""WITH {b.SQL_FLU_LABS} SELECT case_id, specimen_date, result_value,
-      'said "' || coalesce(comments, 'none') || '", then' || chr(10) || 'left' AS comments FROM flu_labs""",
+      CASE case_id % 5 WHEN 0 THEN '\\N' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '\\\\N'
+        ELSE 'said "' || coalesce(comments, 'none') || '", then' || chr(10) || 'left' END AS comments FROM flu_labs""",
 )
 def report_roundtrip(spark, sf_dir):
-    """Free text with quotes, separators and line breaks written to CSV and read back."""
+    """Free text with quotes, line breaks, the null token, empty and missing text written to CSV and read back."""
     said = F.concat(F.lit('said "'), F.coalesce("comments", F.lit("none")), F.lit('", then\nleft'))
-    report = b.flu_labs(spark, sf_dir).select("case_id", "specimen_date", "result_value", said.alias("comments"))
-    path = writers.scratch_folder(spark, "report")
+    kind = F.col("case_id") % 5
+    awkward = F.when(kind == 0, F.lit("\\N")).when(kind == 1, F.lit("")).when(kind == 3, F.lit("\\\\N")).when(kind == 4, said)
+    report = b.flu_labs(spark, sf_dir).select("case_id", "specimen_date", "result_value", awkward.alias("comments"))
+    path = b.scratch(spark, "report")
     writers.write_report(report, path, b.PERIOD.as_of, "csv")
     return writers.read_csv(
         spark,
@@ -475,5 +575,3 @@ def reshape_columns(spark, sf_dir):
         drop_from="o_orderdate",
     )
 
-
-assert set(FIELDS) <= set(codes.TARGETS)
