@@ -2,37 +2,109 @@
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveil.llm.shared import written
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+CHUNK_TEXTS = 2000
+LINE_PARTS = 256
+BEYOND_LATIN = "\u0250"
 LEAF_ITEMS = 4096  # pieces that a leaf of the tree packs
 FAN_IN = 16  # nodes that meet in the next round
 NEARLY_FULL = 32  # a bin with less room than this is emitted
 PIECES = "doc_id {key}, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-class _WordIds(dict):
-    """UTF-8 word to its ids as little-endian bytes; emptied when it has too many words."""
+class WordIds:
+    """Ids of words, remembered: a word's are those of its pre-tokens, and each distinct pre-token is encoded once.
 
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer = tokenizer
+    ``pattern`` is the tokenizer file's own split pattern. Without one, or for words beyond the
+    Latin blocks, the word is encoded as it is. Pre-tokens are encoded many to a line; the last id of
+    each bears the file's end-of-word suffix, which tells them apart again.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = out = np.asarray(ids, "<u4").tobytes()
-        return out
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        suffix = config["model"].get("end_of_word_suffix")
+        steps = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        patterns = [s["pattern"]["Regex"] for s in steps if s.get("type") == "Split" and "Regex" in s.get("pattern", {})]
+        lowers = '"Lowercase"' in json.dumps(config.get("normalizer"))
+        self.pattern = regex.compile(patterns[0]) if len(patterns) == 1 and suffix and lowers else None
+        self.special = [t["content"] for t in config.get("added_tokens", [])]
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def split(self, text: str) -> list[str] | None:
+        """The text's words, in lower case if that is what the file does first; None if it must be encoded as a whole."""
+        if self.pattern is None:
+            return None if any(s in text for s in self.special) else text.replace("\n", " ").split(" ")
+        lower = text.lower()
+        if "\u03a3" in text or not (is_normalized("NFC", text) and is_normalized("NFC", lower)):
+            return None  # here lower case depends on neighbours, or the order of the steps matters
+        if any(s.lower() in lower for s in self.special):
+            return None  # the tokenizer looks for these in the text as it is
+        return lower.replace("\n", " ").split(" ")
+
+    def learn(self, new: list[str]) -> None:
+        if self.pattern is None:
+            split = [[w] for w in new]
+            plain = []
+        else:
+            latin = max(map(max, filter(None, new)), default="") < BEYOND_LATIN
+            findall = self.pattern.findall
+            split = [findall(w) if latin or max(w, default="") < BEYOND_LATIN else [w] for w in new]
+            plain = list({p for parts in split for p in parts if p not in self.parts and (latin or max(p) < BEYOND_LATIN)})
+        lines = [plain[i : i + LINE_PARTS] for i in range(0, len(plain), LINE_PARTS)]
+        for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
+            ids = np.asarray(found.ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) == len(line):
+                raw, at = ids.tobytes(), 0
+                for part, cut in zip(line, cuts):
+                    self.parts[part] = raw[at:cut]
+                    at = cut
+        rest = list({p for parts in split for p in parts if p not in self.parts})
+        for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.parts[part] = np.asarray(found.ids, "<u4").tobytes()
+        known = self.parts
+        for word, parts in zip(new, split):
+            self.words[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The texts' ids as little-endian bytes."""
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+            self.parts.clear()
+        split = [self.split(t) for t in texts]
+        new = {w for words in split if words is not None for w in words if w not in self.words}
+        if new:
+            self.learn(list(new))
+        ids = self.words.__getitem__
+        return [
+            b"".join(map(ids, words)) if words is not None
+            else np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            for text, words in zip(texts, split)
+        ]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -47,33 +119,32 @@ def tokenize(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id:
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        cache = _WordIds(Tokenizer.from_file(tokenizer_path))
-        schema = None
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
+        words = WordIds(tokenizer_path)
         for batch in batches:
-            rows: list[tuple] = []
-            at: list[int] = []
-            for i, value in enumerate(batch.column(1)):
-                words = (value.as_py() or "").replace("\n", " ").split(" ")
-                ids = b"".join(map(cache.__getitem__, words)) + end
-                for p, start in enumerate(range(0, len(ids), 4 * seq_len)):
-                    part = ids[start : start + 4 * seq_len]
-                    at.append(i)
-                    rows.append((p, start // 4, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
-            schema = schema or pa.schema([
+            schema = pa.schema([
                 ("doc_id", batch.schema.field(0).type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                 ("ids_crc32", pa.int64()), ("ids", pa.binary()),
             ])
-            cols = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:])]], schema=schema
-            )
+            for lo in range(0, batch.num_rows, CHUNK_TEXTS):
+                part = batch.slice(lo, CHUNK_TEXTS)
+                rows: list[tuple] = []
+                at: list[int] = []
+                for i, encoded in enumerate(words.encode([t or "" for t in part.column(1).to_pylist()])):
+                    ids = encoded + end
+                    for p, start in enumerate(range(0, len(ids), 4 * seq_len)):
+                        own = ids[start : start + 4 * seq_len]
+                        at.append(i)
+                        rows.append((p, start // 4, len(own) // 4, zlib.crc32(own), own if keep_ids else None))
+                cols = list(zip(*rows)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:])]], schema=schema
+                )
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(pieces, PIECES.format(key=kind))
 
 
-def best_fit(lengths: list[int], capacity: int, bins: int | None = None) -> list[int]:
+def best_fit(lengths: list[int], capacity: int) -> list[int]:
     """Best fit decreasing: the bin number of each item.
 
     ``rooms`` are the distinct free spaces that occur, sorted; an item goes to a bin with the

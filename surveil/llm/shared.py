@@ -14,14 +14,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session, whose driver is its executor, may leave the setting out.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    folder = f"file://{tempfile.mkdtemp(prefix='surveil-')}"
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='surveil-')}")
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
