@@ -17,8 +17,8 @@ SHINGLE = 5
 LOW, HIGH = 75, 100  # the least similarity as a fraction
 CACHE_WORDS = 500_000
 SEEN_SETS = 1_000_000
-FIRST_BAND, BAND_RATIO, PARTS_PER_ROW = 64, 8, 6
-EXTRA = 0.06  # signatures beyond the least number, as a share of the set's size
+FIRST_BAND, BAND_RATIO, PARTS_PER_ROW = 64, 8, 8
+EXTRA = 0.15  # signatures beyond the least number, as a share of the set's size
 BROADCAST_ROWS = 500_000  # of 8 bytes
 K = [np.uint64(k) for k in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
@@ -201,17 +201,27 @@ def shared_only(rows: DataFrame) -> DataFrame:
     return rows.repartition("sig").sortWithinPartitions("sig", "ref").mapInArrow(run, "sig long, ref long")
 
 
-def candidate_groups(shared: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Groups among which all links are: (sig, ref, n, rank, size); ref without its band, rank 0 for the most central member.
+def candidates(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The sets (set, n, text_hash) that share as many signatures with others as any link needs; all others have no link."""
+    by_row = sizes.select("set", "n", "text_hash", F.explode(F.array(*[F.col("set") + i for i in range(8)])).alias("ref"))
+    need = F.floor((-F.floor(-F.col("n") * LOW / HIGH)) * EXTRA) + 1
+    held = shared.groupBy("ref").agg(F.count("*").alias("held")).join(by_row, "ref").filter(F.col("held") >= need)
+    return held.select("set", "n", "text_hash").distinct()
+
 
-    A set with fewer shared signatures than any link needs goes. Of the others each keeps its rarest
-    ones: all but ``needed`` - 1, so that linked sets still meet in one. Groups with the same members
-    are one.
+def candidate_groups(sets: DataFrame) -> DataFrame:
+    """Groups among which all links are: (sig, ref, n, shared, rank, size); rank 0 for the most central member.
+
+    Signatures are now single shingles, those of the candidates. A linked set shares 75 of 100 of its
+    shingles; sets that share fewer with all others together go. Of the others each keeps its rarest
+    shared ones, all but 75 of 100 and one more, so that linked sets still meet in one. Groups with
+    the same members are one.
     """
-    by_row = sizes.select(F.col("set"), "n", F.explode(F.array(*[F.col("set") + i for i in range(8)])).alias("ref"))
-    need = F.floor((-F.floor(-F.col("n") * LOW / HIGH)) * EXTRA) + 1
-    held = shared.groupBy("ref").agg(F.count("*").alias("held")).join(by_row, "ref").withColumn("need", need)
-    held = held.filter("held >= need").select("ref", "set", "n", "need")
+    single = sets.select(F.explode("hashes").alias("sig"), "ref")
+    shared = written(shared_only(single), "shared-shingles")
+    need = -F.floor(-F.col("n") * LOW / HIGH)
+    held = shared.groupBy("ref").agg(F.count("*").alias("held")).join(sets.select("ref", F.size("hashes").alias("n")), "ref")
+    held = held.withColumn("need", need).filter("held >= need").drop("held")
     rows = skew_join(shared, held, ["ref"])
     popular = rows.groupBy("sig").agg(F.count("*").alias("popular")).filter("popular > 1")
     rows = skew_join(rows, popular, ["sig"])
@@ -221,17 +231,18 @@ def candidate_groups(shared: DataFrame, sizes: DataFrame) -> DataFrame:
         "place": F.row_number().over(all_of.orderBy("popular", "sig")),
     })
     rows = rows.filter("place <= left - need + 1")
-    rows = written(rows.select("sig", "set", "n", (F.col("central") / F.col("n")).alias("central")), "signatures")
+    rows = rows.select("sig", F.col("ref").alias("set"), "n", F.col("left").alias("shared"), (F.col("central") / F.col("n")).alias("central"))
+    rows = written(rows, "signatures")
     marks = [F.bit_xor(F.xxhash64(F.lit(i), "set")).alias(f"x{i}") for i in (0, 1)]
     alike = rows.groupBy("sig").agg(F.count("*").alias("size"), *marks)
     alike = alike.filter("size > 1").groupBy("size", "x0", "x1").agg(F.min("sig").alias("sig")).select("sig", "size")
     rows = skew_join(rows, alike, ["sig"])
     rank = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("central"), "set")) - 1
-    return rows.select("sig", F.col("set").alias("ref"), "n", rank.alias("rank"), "size")
+    return rows.select("sig", F.col("set").alias("ref"), F.col("n").cast("long").alias("n"), "shared", rank.alias("rank"), "size")
 
 
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(ref, hashes) of the sets of the texts with ``wanted`` text_hash."""
+    """(ref, hashes) of the ``wanted`` sets, from texts with their text_hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen = WordHash(), set()
@@ -248,52 +259,60 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                     hashes.append(h.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(refs, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["ref", "hashes"])
 
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).join(wanted, "text_hash", "left_semi")
-    return texts.mapInArrow(run, "ref long, hashes array<long>").groupBy("ref").agg(F.first("hashes").alias("hashes"))
+    few = wanted.count() <= BROADCAST_ROWS
+    names = wanted.select("text_hash")
+    texts = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).join(
+        F.broadcast(names) if few else names, "text_hash", "left_semi"
+    )
+    found = texts.mapInArrow(run, "ref long, hashes array<long>").groupBy("ref").agg(F.first("hashes").alias("hashes"))
+    refs = wanted.select(F.col("set").alias("ref"))
+    return found.join(F.broadcast(refs) if few else refs, "ref", "left_semi")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` (a, b, ...) with their exact number of common shingles."""
-    left = sets.select(F.col("ref").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("ref").alias("b"), F.col("hashes").alias("hb"))
-    both = skew_join(skew_join(pairs, left, ["a"]), right, ["b"])
+    pairs = written(pairs, "pairs")
+
+    def used(side: str) -> DataFrame:  # only these sets are shuffled
+        mine = pairs.select(F.col(side).alias("ref")).distinct()
+        return sets.join(mine, "ref", "left_semi").select(F.col("ref").alias(side), F.col("hashes").alias(f"h{side}"))
+
+    both = skew_join(skew_join(pairs, used("a"), ["a"]), used("b"), ["b"])
     return both.withColumn("common", F.size(F.array_intersect("ha", "hb"))).drop("ha", "hb")
 
 
 def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The sets of all rows, and links between different sets that connect all that are connected.
 
-    Returns ``set_sizes`` and (a, b): every row is a verified link, and two sets are in one component
-    exactly if a chain of links of similarity 0.75 or more joins them.
+    Returns ``set_sizes`` and (a, b): two sets are in one component of these exactly if a chain of
+    links of similarity 0.75 or more joins them.
 
-    Every group of ``candidate_groups`` is first compared with its most central member. While a
-    group holds several components, its next members are compared with those after them, four
-    times as many members in each round, but never inside a component nor where the triangle
-    inequality of the Jaccard distance (through the first member) rules a link out. A group of near
-    copies so takes about one comparison per member, and no pair is skipped that could add a link.
+    PartEnum signatures say which sets can have links at all (``candidates``), and those sets' rarest
+    shared shingles which of them can link (``candidate_groups``). Every group is first compared with its most central member. While a
+    group holds several components, its next members are compared with those after them, sixteen
+    times as many members in each round, but never inside a component nor where counts rule a link
+    out: two sets have in common at most the smaller of what each has in common with the first member,
+    and the smaller of what each shares with any set beyond that. A group of near copies so takes
+    about one comparison per member, and no pair is skipped that could add a link.
     """
     sizes = written(set_sizes(docs, key, text), "sets")
     classes = sizes.filter("ref is not null").groupBy(F.col("ref").alias("set")).agg(
         F.first("n_shingles").alias("n"), F.min("text_hash").alias("text_hash")
     )
     shared = written(shared_only(signature_rows(docs, text)), "shared")
-    groups = written(candidate_groups(shared, classes), "groups")
-    wanted = groups.select("ref").distinct().join(classes, F.col("ref") == F.col("set")).select("text_hash")
-    sets = written(sets_of(docs, text, wanted), "hashes")
+    found = written(candidates(shared, classes), "candidates")
+    sets = written(sets_of(docs, text, found), "hashes")
+    groups = written(candidate_groups(sets), "groups")
 
-    fits = (F.least("na", "nb") * HIGH >= F.greatest("na", "nb") * LOW)
     linked = F.col("common") * HIGH >= (F.col("na") + F.col("nb") - F.col("common")) * LOW
     first = groups.filter("rank = 0").select("sig", F.col("ref").alias("b"), F.col("n").alias("nb"))
     pairs = skew_join(groups.filter("rank > 0").select("sig", F.col("ref").alias("a"), F.col("n").alias("na")), first, ["sig"])
     checked = written(verify(pairs.select("a", "b", "na", "nb").distinct(), sets), "checked")
     links = written(checked.filter(linked).select("a", "b"), "links")
-    apart = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    distances = checked.select("a", "b", apart.alias("apart"))
     members = skew_join(groups, first.select("sig", "b"), ["sig"]).withColumn("a", F.col("ref"))
-    members = skew_join(members, distances, ["a", "b"], "left").withColumn("apart", F.coalesce("apart", F.lit(0.0)))
-    members = written(members.select("sig", "ref", "n", "rank", "size", "apart"), "members")
+    members = skew_join(members, checked.select("a", "b", "common"), ["a", "b"], "left")
+    members = members.withColumn("common", F.coalesce(F.col("common").cast("long"), "n"))  # the first member itself
+    members = written(members.select("sig", "ref", "n", "rank", "size", "common", (F.col("shared") - F.col("common")).alias("beyond")), "members")
 
     done = 1  # members of each group that were compared with all after them
     while True:
@@ -304,17 +323,20 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
         open_groups = written(skew_join(now, split, ["sig"]), "open")
         if open_groups.isEmpty():
             return sizes, links
-        upto = 4 * done
+        upto = 16 * done
         next_ones = open_groups.filter((F.col("rank") >= done) & (F.col("rank") < upto)).select(
-            "sig", F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rank_b"), F.col("apart").alias("apart_b"), F.col("name").alias("name_b")
+            "sig", F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rank_b"), F.col("name").alias("name_b"),
+            F.col("common").alias("common_b"), F.col("beyond").alias("beyond_b"),
         )
         pairs = skew_join(
-            open_groups.filter(F.col("rank") > done).select("sig", F.col("ref").alias("a"), F.col("n").alias("na"), "rank", "apart", "name"), next_ones, ["sig"]
+            open_groups.filter(F.col("rank") > done).select("sig", F.col("ref").alias("a"), F.col("n").alias("na"), "rank", "name", "common", "beyond"), next_ones, ["sig"]
         )
-        near = F.abs(F.col("apart") - F.col("apart_b")) <= 1 - LOW / HIGH + 1e-9
-        pairs = pairs.filter((F.col("rank") > F.col("rank_b")) & (F.col("name") != F.col("name_b")) & fits & near)
+        most = F.least("common", "common_b") + F.least("beyond", "beyond_b")
+        can = most * HIGH >= (F.col("na") + F.col("nb") - most) * LOW
+        pairs = pairs.filter((F.col("rank") > F.col("rank_b")) & (F.col("name") != F.col("name_b")) & can)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
-        links = written(links.unionByName(verify(pairs, sets).filter(linked).select("a", "b")), "links")
+        stars = named.select(F.col("ref").alias("a"), F.col("name").alias("b")).filter("a != b")
+        links = written(stars.unionByName(verify(pairs, sets).filter(linked).select("a", "b")), "links")
         done = upto
 
 
