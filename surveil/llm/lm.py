@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from surveil.llm.shared import written
 BLOCK_WORDS = 4_000_000  # words that share a vocabulary of their own
 OUT_ROWS = 65_536
 SPACE = 0x20  # stands for the sign of a word's beginning; no word contains it
-SLOT_BITS = 21
+SLOT_BITS = 20
 MULT, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 SPREAD = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5))
 
@@ -49,56 +50,61 @@ def vocabulary(path: str) -> list[tuple[bytes, float]]:
     return sorted(found.items())
 
 
+@lru_cache(maxsize=2)
+def prefix_tables(pieces: tuple[bytes, ...]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hash tables of every prefix of a piece: its hash, its piece (-1 for a mere prefix, -2 for a
+    free slot) and whether other prefixes had to go on to the next table."""
+    known = {p: i for i, p in enumerate(pieces)}
+    prefixes = sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)})
+    hashes = np.array([_hash(p) for p in prefixes], np.uint64)
+    ids = np.array([known.get(p, -1) for p in prefixes], np.int32)
+    tables = []
+    for spread in SPREAD:
+        slot = _slot(hashes, spread)
+        keys, values, over = np.zeros(1 << SLOT_BITS, np.uint64), np.full(1 << SLOT_BITS, -2, np.int32), np.zeros(1 << SLOT_BITS, bool)
+        _, first = np.unique(slot, return_index=True)
+        keys[slot[first]], values[slot[first]] = hashes[first], ids[first]
+        rest = np.setdiff1d(np.arange(len(hashes)), first)
+        over[slot[rest]] = True
+        tables.append((keys, values, over))
+        hashes, ids = hashes[rest], ids[rest]
+    if len(hashes):
+        raise ValueError("the vocabulary does not fit the hash tables")
+    return tables
+
+
+def find(h: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]], level: int = 0) -> np.ndarray:
+    """The piece of each hash, -1 for a mere prefix, -2 for neither."""
+    keys, values, over = tables[level]
+    slot = _slot(h, SPREAD[level])
+    out = np.where(keys[slot] == h, values[slot], np.int32(-2))
+    again = np.flatnonzero((out == -2) & over[slot])
+    if len(again):
+        out[again] = find(h[again], tables, level + 1)
+    return out
+
+
 @dataclass
 class Lattice:
-    """The vocabulary's pieces and their log probabilities.
-
-    ``tables`` hash every prefix of a piece: its hash, its piece (-1 for a mere prefix, -2 for a free
-    slot) and whether other prefixes had to go on to the next table.
-    """
+    """The vocabulary's pieces and their log probabilities."""
 
-    tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    pieces: tuple[bytes, ...]
     logp: np.ndarray
 
-    @classmethod
-    def of(cls, pieces: list[bytes], logp: np.ndarray) -> Lattice:
-        known = {p: i for i, p in enumerate(pieces)}
-        prefixes = sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)})
-        hashes = np.array([_hash(p) for p in prefixes], np.uint64)
-        ids = np.array([known.get(p, -1) for p in prefixes], np.int32)
-        tables = []
-        for spread in SPREAD:
-            slot = _slot(hashes, spread)
-            keys, values, over = np.zeros(1 << SLOT_BITS, np.uint64), np.full(1 << SLOT_BITS, -2, np.int32), np.zeros(1 << SLOT_BITS, bool)
-            _, first = np.unique(slot, return_index=True)
-            keys[slot[first]], values[slot[first]] = hashes[first], ids[first]
-            rest = np.setdiff1d(np.arange(len(hashes)), first)
-            over[slot[rest]] = True
-            tables.append((keys, values, over))
-            hashes, ids = hashes[rest], ids[rest]
-        if len(hashes):
-            raise ValueError("the vocabulary does not fit the hash tables")
-        return cls(tables, logp)
-
-    def find(self, h: np.ndarray, table: int = 0) -> np.ndarray:
-        """The piece of each hash, -1 for a mere prefix, -2 for neither."""
-        keys, values, over = self.tables[table]
-        slot = _slot(h, SPREAD[table])
-        out = np.where(keys[slot] == h, values[slot], np.int32(-2))
-        again = np.flatnonzero((out == -2) & over[slot])
-        if len(again):
-            out[again] = self.find(h[again], table + 1)
-        return out
+    @property
+    def tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        return prefix_tables(self.pieces)  # made once in each worker: much larger than the pieces
 
     def arcs(self, chars: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """The pieces in words of one length, ``chars`` (words, bytes): (begin, end, words, pieces), by begin."""
         n, length = chars.shape
+        tables = self.tables
         steps = (chars.T.astype(np.uint64) + np.uint64(1)) * STEP
         for begin in range(length):
             rows, h = np.arange(n), np.zeros(n, np.uint64)
             for end in range(begin + 1, length + 1):
                 h = h * MULT + steps[end - 1, rows]
-                piece = self.find(h)
+                piece = find(h, tables)
                 alive = piece > -2
                 rows, h, piece = rows[alive], h[alive], piece[alive]
                 if not len(rows):
@@ -259,8 +265,8 @@ def fit(words: DataFrame, vocab: list[tuple[bytes, float]], rounds: int = 2, flo
     comes to the driver is one number per piece of the vocabulary.
     """
     weights = np.array([w for _, w in vocab])
-    pieces = [p for p, _ in vocab]
-    lattice = Lattice.of(pieces, weights - np.logaddexp.reduce(weights))
+    pieces = tuple(p for p, _ in vocab)
+    lattice = Lattice(pieces, weights - np.logaddexp.reduce(weights))
     for _ in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], lattice: Lattice = lattice) -> Iterator[pa.RecordBatch]:
@@ -276,7 +282,7 @@ def fit(words: DataFrame, vocab: list[tuple[bytes, float]], rounds: int = 2, flo
         uses = np.full(len(pieces), floor)
         for r in rows:
             uses[r["piece"]] += r["uses"]
-        lattice = Lattice(lattice.tables, np.log(uses / uses.sum()))
+        lattice = Lattice(pieces, np.log(uses / uses.sum()))
     return lattice
 
 
