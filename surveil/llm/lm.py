@@ -18,9 +18,8 @@ from surveil.llm.shared import written
 BLOCK_WORDS = 4_000_000  # words that share a vocabulary of their own
 OUT_ROWS = 65_536
 SPACE = 0x20  # stands for the sign of a word's beginning; no word contains it
-SLOT_BITS = 20
-MULT, STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-SPREAD = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5))
+GATHER_ROWS = 200_000  # words of several batches that are looked at together
+PLAIN_BYTES = 24  # a byte weighs 1e-10 or more, so these products stay in range
 
 
 def vocabulary(path: str) -> list[tuple[bytes, float]]:
@@ -51,105 +50,81 @@ def vocabulary(path: str) -> list[tuple[bytes, float]]:
 
 
 @lru_cache(maxsize=2)
-def prefix_tables(pieces: tuple[bytes, ...]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Hash tables of every prefix of a piece: its hash, its piece (-1 for a mere prefix, -2 for a
-    free slot) and whether other prefixes had to go on to the next table."""
-    known = {p: i for i, p in enumerate(pieces)}
+def trie(pieces: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces' prefixes as states: the next state for each byte (0 for none; 0 is the root), and the piece of each (-1 for none)."""
     prefixes = sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)})
-    hashes = np.array([_hash(p) for p in prefixes], np.uint64)
-    ids = np.array([known.get(p, -1) for p in prefixes], np.int32)
-    tables = []
-    for spread in SPREAD:
-        slot = _slot(hashes, spread)
-        keys, values, over = np.zeros(1 << SLOT_BITS, np.uint64), np.full(1 << SLOT_BITS, -2, np.int32), np.zeros(1 << SLOT_BITS, bool)
-        _, first = np.unique(slot, return_index=True)
-        keys[slot[first]], values[slot[first]] = hashes[first], ids[first]
-        rest = np.setdiff1d(np.arange(len(hashes)), first)
-        over[slot[rest]] = True
-        tables.append((keys, values, over))
-        hashes, ids = hashes[rest], ids[rest]
-    if len(hashes):
-        raise ValueError("the vocabulary does not fit the hash tables")
-    return tables
-
-
-def find(h: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]], level: int = 0) -> np.ndarray:
-    """The piece of each hash, -1 for a mere prefix, -2 for neither."""
-    keys, values, over = tables[level]
-    slot = _slot(h, SPREAD[level])
-    out = np.where(keys[slot] == h, values[slot], np.int32(-2))
-    again = np.flatnonzero((out == -2) & over[slot])
-    if len(again):
-        out[again] = find(h[again], tables, level + 1)
-    return out
+    state = {b"": 0} | {p: i for i, p in enumerate(prefixes, 1)}
+    after = np.zeros((len(state), 256), np.int32)
+    for p in prefixes:
+        after[state[p[:-1]], p[-1]] = state[p]
+    piece = np.full(len(state), -1, np.int32)
+    for i, p in enumerate(pieces):
+        piece[state[p]] = i
+    return after.ravel(), piece
 
 
 @dataclass
 class Lattice:
-    """The vocabulary's pieces and their log probabilities."""
+    """The vocabulary's pieces and their log probabilities. The trie is made once in each worker."""
 
     pieces: tuple[bytes, ...]
     logp: np.ndarray
 
-    @property
-    def tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        return prefix_tables(self.pieces)  # made once in each worker: much larger than the pieces
-
     def arcs(self, chars: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """The pieces in words of one length, ``chars`` (words, bytes): (begin, end, words, pieces), by begin."""
+        after, piece_of = trie(self.pieces)
         n, length = chars.shape
-        tables = self.tables
-        steps = (chars.T.astype(np.uint64) + np.uint64(1)) * STEP
+        columns = np.ascontiguousarray(chars.T).astype(np.int32)
         for begin in range(length):
-            rows, h = np.arange(n), np.zeros(n, np.uint64)
+            rows, state = np.arange(n), np.zeros(n, np.int32)
             for end in range(begin + 1, length + 1):
-                h = h * MULT + steps[end - 1, rows]
-                piece = find(h, tables)
-                alive = piece > -2
-                rows, h, piece = rows[alive], h[alive], piece[alive]
+                state = after[(state << 8) + columns[end - 1][rows]]
+                alive = np.flatnonzero(state)
+                if len(alive) < len(rows):
+                    rows, state = rows[alive], state[alive]
                 if not len(rows):
                     break
-                whole = piece >= 0
-                if whole.any():
+                piece = piece_of[state]
+                whole = np.flatnonzero(piece >= 0)
+                if len(whole) == len(rows):
+                    yield begin, end, rows, piece
+                elif len(whole):
                     yield begin, end, rows[whole], piece[whole]
 
-    def forward(self, chars: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """Log weight of all ways to reach each place, (words, bytes + 1); the last column is the marginal."""
+    def forward(self, chars: np.ndarray) -> np.ndarray:
+        """Log weight of all ways to reach each place, (bytes + 1, words); the last row is the marginal."""
         n, length = chars.shape
         alpha = np.full((length + 1, n), -np.inf)
         alpha[0] = 0
         for begin, end, rows, piece in self.arcs(chars):
             alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[begin, rows] + self.logp[piece])
-            if keep is not None:
-                keep.append((begin, end, rows, piece))
         return alpha
 
     def expected(self, chars: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in the words."""
-        arcs: list = []
-        alpha = self.forward(chars, arcs)
-        beta = np.full_like(alpha, -np.inf)
-        beta[-1] = 0
-        for begin, end, rows, piece in reversed(arcs):
-            beta[begin, rows] = np.logaddexp(beta[begin, rows], beta[end, rows] + self.logp[piece])
-        out = np.zeros(len(self.logp))
+        """Expected uses of each piece in the words, by the forward and backward recursions.
+
+        In plain weights, which takes no logarithms, for words short enough to stay in range.
+        """
+        n, length = chars.shape
+        arcs = list(self.arcs(chars))
+        plain = length <= PLAIN_BYTES
+        weight = np.exp(self.logp) if plain else self.logp
+        join, pass_on = (np.add, np.multiply) if plain else (np.logaddexp, np.add)
+        none, whole = (0.0, 1.0) if plain else (-np.inf, 0.0)
+        alpha, beta = np.full((length + 1, n), none), np.full((length + 1, n), none)
+        alpha[0] = beta[length] = whole
         for begin, end, rows, piece in arcs:
-            share = np.exp(alpha[begin, rows] + self.logp[piece] + beta[end, rows] - alpha[-1, rows])
+            alpha[end, rows] = join(alpha[end, rows], pass_on(alpha[begin, rows], weight[piece]))
+        out = np.zeros(len(self.logp))
+        for begin, end, rows, piece in reversed(arcs):
+            on = pass_on(weight[piece], beta[end, rows])
+            beta[begin, rows] = join(beta[begin, rows], on)
+            share = pass_on(alpha[begin, rows], on)
+            share = share / alpha[length, rows] if plain else np.exp(share - alpha[length, rows])
             out += np.bincount(piece, share, len(out))
         return out
 
 
-def _hash(piece: bytes) -> np.uint64:
-    h = 0
-    for b in piece:
-        h = (h * int(MULT) + (b + 1) * int(STEP)) % 2**64
-    return np.uint64(h)
-
-
-def _slot(h: np.ndarray, spread: np.uint64) -> np.ndarray:
-    return ((h ^ (h >> np.uint64(29))) * spread) >> np.uint64(64 - SLOT_BITS)
-
-
 def by_length(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, bytes) of the words of each length, each word with its beginning sign."""
     if isinstance(words, pa.ChunkedArray):
@@ -185,6 +160,27 @@ def document(logp: np.ndarray, ids: np.ndarray, end: float, strength: float) ->
     return float(words.sum() - np.log(strength + np.arange(n + 1)).sum() + np.log(strength) + end)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in larger batches, so that there are many words of each length."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GATHER_ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+class Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 TOKENS = "block long, idx int, word binary, n_train long, key {key}, held_out boolean, n_words long, ids binary"
 
 
@@ -199,7 +195,7 @@ def tokens(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.coalesce(bucket == 2, F.lit(True)).alias("held_out"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[bytes, int] = {}
+        numbers = Numbers()
         key_type = None
         block = TaskContext.get().partitionId() << 24
         keys: list = []
@@ -242,9 +238,6 @@ def tokens(docs: DataFrame, key: str, text: str) -> DataFrame:
             key_type = batch.schema.field(0).type
             for k, t, h in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 words = (t.as_py() or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: ASCII alone
-                for w in words:
-                    if w not in numbers:
-                        numbers[w] = len(numbers)
                 ids.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
                 keys.append(k)
                 held.append(h)
@@ -271,7 +264,7 @@ def fit(words: DataFrame, vocab: list[tuple[bytes, float]], rounds: int = 2, flo
 
         def run(batches: Iterator[pa.RecordBatch], lattice: Lattice = lattice) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(lattice.logp))
-            for batch in batches:
+            for batch in gathered(batches):
                 for _, chars in by_length(batch.column(0)):
                     for at in range(0, len(chars), OUT_ROWS):
                         total += lattice.expected(chars[at : at + OUT_ROWS])
@@ -379,11 +372,16 @@ def score(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str
 
 
 def _word_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        logp = np.zeros(batch.num_rows)
-        c = batch.column(2).to_numpy(zero_copy_only=False)
-        for rows, chars in by_length(batch.column(3)):
-            for at in range(0, len(rows), OUT_ROWS):
-                part = rows[at : at + OUT_ROWS]
-                logp[part] = model.word(chars[at : at + OUT_ROWS], c[part])
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(logp)], names=["block", "idx", "c", "logp"])
+    """Rows of one word lie together, as the window that counted them left them: a word is run once for all its blocks in a batch."""
+    for batch in gathered(batches):
+        coded = batch.column(3).dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        words = coded.dictionary
+        c = np.zeros(len(words), np.int64)
+        c[at] = batch.column(2).to_numpy(zero_copy_only=False)
+        logp = np.zeros(len(words))
+        for rows, chars in by_length(words):
+            for lo in range(0, len(rows), OUT_ROWS):
+                part = rows[lo : lo + OUT_ROWS]
+                logp[part] = model.word(chars[lo : lo + OUT_ROWS], c[part])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(logp[at])], names=["block", "idx", "c", "logp"])
