@@ -33,8 +33,8 @@ def terms(words: Column, shingle: int = SHINGLE) -> Column:
 def fingerprints(df: DataFrame, keys: Sequence[str], text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row per ``keys``: keys, high and low (the fingerprint's halves) and fingerprint (32 hex digits).
 
-    Each occurrence of a term votes with its hash, so a term weighs as often as it occurs. 64 sums
-    count the votes of 128 bits: bits i and i + 32 of a hash share a sum as counters of 32 bits. A
+    Each occurrence of a term votes with its hash, so a term weighs as often as it occurs. 32 sums
+    count the votes of 64 bits, a half: bits i and i + 32 of a hash share a sum as counters of 32 bits. A
     bit is set if more than half of the votes are ones. Texts with equal words have equal
     fingerprints; null texts and texts without words have no votes and fingerprint 0. Rows with equal
     keys vote together, so keys must tell rows apart. Only ``keys`` and ``text`` are read.
@@ -42,22 +42,22 @@ def fingerprints(df: DataFrame, keys: Sequence[str], text: str = "text", shingle
     split = df.select(*keys, words(F.col(text)).alias("__w"))
     exploded = split.select(*keys, F.explode_outer(terms(F.col("__w"), shingle)).alias("__t"))
     parts = [F.col(f"__t.w{i}") for i in range(shingle)]
-    hashed = exploded.select(
-        *keys,
+    # a row per term and half: one half's 32 sums are as much as one compiled loop should hold
+    halves = exploded.withColumn("__half", F.explode(F.array(F.lit(0), F.lit(1))))
+    hashed = halves.select(
+        *keys, "__half",
         F.col("__t").isNotNull().cast("long").alias("__one"),
-        *[F.when(F.col("__t").isNotNull(), F.xxhash64(F.lit(half), *parts)).otherwise(F.lit(0)).alias(f"__h{half}") for half in (0, 1)],
+        F.when(F.col("__t").isNotNull(), F.xxhash64("__half", *parts)).otherwise(F.lit(0)).alias("__h"),
     )
-    sums = [
-        F.sum(F.shiftrightunsigned(F.col(f"__h{half}"), i).bitwiseAND(F.lit(LANES))).alias(f"__s{half}_{i}")
-        for half in (0, 1) for i in range(32)
-    ]
-    votes = hashed.groupBy(*keys).agg(F.sum("__one").alias("__n"), *sums)
-    halves = votes.select(*keys, _half(0).alias("high"), _half(1).alias("low"))
-    return halves.withColumn("fingerprint", F.concat(_hex("high"), _hex("low")))
+    sums = [F.sum(F.shiftrightunsigned("__h", i).bitwiseAND(F.lit(LANES))).alias(f"__s{i}") for i in range(32)]
+    votes = hashed.groupBy(*keys, "__half").agg(F.sum("__one").alias("__n"), *sums)
+    bits = votes.select(*keys, "__half", _bits().alias("__bits"))
+    wide = bits.groupBy(*keys).agg(*[F.max(F.when(F.col("__half") == h, F.col("__bits"))).alias(n) for h, n in ((0, "high"), (1, "low"))])
+    return wide.withColumn("fingerprint", F.concat(_hex("high"), _hex("low")))
 
 
-def _half(half: int) -> Column:
-    sums = F.array(*[F.col(f"__s{half}_{i}") for i in range(32)])
+def _bits() -> Column:
+    sums = F.array(*[F.col(f"__s{i}") for i in range(32)])
     low = F.lit(0xFFFFFFFF)
 
     def bits(s: Column, i: Column) -> Column:
