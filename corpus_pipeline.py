@@ -21,17 +21,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id.
+    """One document of each group of near duplicates stays: that with the smallest id (null last), of equal ids the least.
 
-    Rows that repeat an id keep one row, that with the least text; documents without words and without an id all stay.
+    Documents without words are in no group and all stay.
     """
-    groups = jaccard.jaccard_components(docs.select("doc_id", "text"))
-    keep = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    unknown = docs.filter("doc_id is null")
-    kept = skew_join(docs.filter("doc_id is not null"), keep, ["doc_id"], "left_semi")
-    row = F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    kept = kept.groupBy("doc_id").agg(F.min(row).alias("row")).select("doc_id", "row.*")
-    return kept.select(*docs.columns).unionByName(unknown)
+    groups = jaccard.jaccard_components(docs.select("doc_id", "text")).withColumnRenamed("text_hash", "__hash")
+    chosen = groups.filter("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__hash")).alias("first")
+    ).select("first.doc_id", "first.__hash")
+    rows = groups.groupBy("doc_id", "__hash").agg(F.count("*").alias("__rows"))
+    wordless = groups.filter("component is null").select("doc_id", "__hash", F.lit(1).cast("long").alias("__rows")).distinct()
+    keep = written(skew_join(rows, chosen, ["doc_id", "__hash"]).unionByName(wordless), "keep")
+    own = docs.withColumn("__hash", F.xxhash64("text"))
+    once = skew_join(own, keep.filter("__rows = 1"), ["doc_id", "__hash"]).select(*docs.columns)
+    often = skew_join(own, keep.filter("__rows > 1"), ["doc_id", "__hash"])
+    least = F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    often = often.groupBy("doc_id", "__hash").agg(F.min(least).alias("row")).select("doc_id", "row.*").select(*docs.columns)
+    return once.unionByName(often)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

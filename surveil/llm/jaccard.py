@@ -341,7 +341,8 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row: key, n_shingles and component_id, the smallest key reachable by links of similarity 0.75 or more.
+    """One row per row: key, n_shingles, component_id, the smallest key reachable by links of similarity 0.75 or more,
+    component (a name of the component itself, null without shingles) and text_hash (xxhash64 of the text).
 
     A text's set are its distinct shingles of five words (A-Z lower-cased, split at ASCII white space),
     with fewer words the whole sequence. Exact up to collisions of 64-bit hashes. Null texts and
@@ -354,6 +355,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     own = sizes.filter("ref is not null").groupBy("ref").agg(F.min("key").alias("low"))
     own = own.join(named, F.col("ref") == F.col("node"), "left").withColumn("name", F.coalesce("component", "ref"))
     lowest = own.groupBy("name").agg(F.min("low").alias("component_id"))
-    of_set = skew_join(own.select("ref", "name"), lowest, ["name"]).select("ref", "component_id")
+    of_set = skew_join(own.select("ref", "name"), lowest, ["name"]).select("ref", "name", "component_id")
     out = skew_join(sizes, of_set, ["ref"], "left")
-    return out.select(F.col("key").alias(key), "n_shingles", F.when(F.col("ref").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+    component = F.when(F.col("ref").isNull(), F.col("key")).otherwise(F.col("component_id"))
+    return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("name").alias("component"), "text_hash")
