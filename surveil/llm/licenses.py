@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import difflib
 import re
-from collections.abc import Iterator, Mapping
+from collections import Counter
+from collections.abc import Iterator, Mapping, Set
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,6 +13,12 @@ from pyspark.sql import functions as F
 
 # The wording of license notices, (license, variant) -> text.
 TEMPLATES: dict[tuple[str, str], str] = {
+    ("AGPL-3.0", "line"): "This work is licensed under the GNU Affero General Public License, version 3.",
+    ("AGPL-3.0", "notice"): (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    ("All-Rights-Reserved", "line"): "All rights reserved.",
     ("Apache-2.0", "line"): "Licensed under the Apache License, Version 2.0.",
     ("Apache-2.0", "notice"): (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
@@ -26,17 +33,49 @@ TEMPLATES: dict[tuple[str, str], str] = {
         "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
         "the following disclaimer in the documentation and/or other materials provided with the distribution."
     ),
+    ("BSD-3-Clause", "line"): "Licensed under the BSD 3-Clause License.",
+    ("BSD-3-Clause", "notice"): (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the "
+        "copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without "
+        "specific prior written permission."
+    ),
     ("CC-BY-4.0", "line"): "Licensed under CC BY 4.0.",
     ("CC-BY-4.0", "notice"): "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ("CC-BY-NC-4.0", "line"): "Licensed under CC BY-NC 4.0.",
     ("CC-BY-NC-4.0", "notice"): "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ("CC-BY-SA-4.0", "line"): "Licensed under CC BY-SA 4.0.",
     ("CC-BY-SA-4.0", "notice"): "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ("CC0-1.0", "line"): "Licensed under CC0 1.0.",
+    ("CC0-1.0", "notice"): "This work is licensed under a Creative Commons Zero v1.0 Universal License.",
+    ("CC0-1.0", "waiver"): "has waived all copyright and related or neighboring rights to this work.",
+    ("GPL-2.0", "line"): "This work is licensed under the GNU General Public License, version 2.",
+    ("GPL-2.0", "notice"): (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ),
     ("GPL-3.0", "line"): "This work is licensed under the GNU General Public License, version 3.",
     ("GPL-3.0", "notice"): (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    ("ISC", "line"): "Released under the ISC License.",
+    ("ISC", "notice"): (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies."
+    ),
+    ("LGPL-2.1", "line"): "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    ("LGPL-2.1", "notice"): (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ),
+    ("LGPL-3.0", "line"): "This work is licensed under the GNU Lesser General Public License, version 3.",
+    ("LGPL-3.0", "notice"): (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
     ("MIT", "line"): "Released under the MIT License.",
     ("MIT", "notice"): (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
@@ -45,26 +84,52 @@ TEMPLATES: dict[tuple[str, str], str] = {
         "furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be "
         "included in all copies or substantial portions of the Software."
     ),
+    ("MPL-2.0", "line"): "Licensed under the Mozilla Public License, version 2.0.",
+    ("MPL-2.0", "notice"): (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    ("Unlicense", "line"): "Released under the Unlicense.",
+    ("Unlicense", "notice"): (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means."
+    ),
 }
 
-CUE = re.compile(r"licen[sc]|copyright|copyleft|permission|permitted|redistribut|warrant|creative\s+commons|free\s+software", re.I)
 UNIT_END = re.compile(r"(?<=[.!?;:])\s+|\n+")
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 LEVEL = 9
 NEIGHBOURS = (0, 1)  # units beside one with a cue that belong to its block: short notices stand out alone, long ones go on
 
 
-def blocks(text: str, longest: int) -> list[tuple[int, int]]:
+def words_of(text: str) -> list[str]:
+    return [w.lower() for w in WORD.findall(text)]
+
+
+def cues(words: list[str], most_changed: float) -> set[str]:
+    """The longest words of a template that together occur in it more often than words may be missing, so a notice holds one of them."""
+    out: set[str] = set()
+    left = int(most_changed * len(words)) + 1
+    for word, n in sorted(Counter(words).items(), key=lambda w: (-len(w[0]), w[0])):
+        if left <= 0:
+            break
+        out.add(word)
+        left -= n
+    return out
+
+
+def blocks(text: str, longest: int, cue: Set[str]) -> list[tuple[int, int]]:
     """Candidate blocks (begin, end): runs of sentences or lines with a cue, without and with their neighbours.
 
     A run longer than twice ``longest`` words is cut into windows of that many, each beginning
     ``longest`` words after the one before, so whatever is as long as a template lies whole in one.
     """
-    if not CUE.search(text):
+    if cue.isdisjoint(words_of(text)):
         return []
     cuts = [0, *[m.end() for m in UNIT_END.finditer(text)], len(text)]
     units = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
-    cued = [i for i, (a, b) in enumerate(units) if CUE.search(text, a, b)]
+    cued = [i for i, (a, b) in enumerate(units) if not cue.isdisjoint(words_of(text[a:b]))]
     out: dict[tuple[int, int], None] = {}
     for beside in NEIGHBOURS:
         runs: list[list[int]] = []
@@ -96,7 +161,8 @@ class Scanner:
 
         self.plain = compressor()
         self.with_template = {k: compressor(raw(t)) for k, t in templates.items()}
-        self.words = {k: [m[0].lower() for m in WORD.finditer(t)] for k, t in templates.items()}
+        self.words = {k: words_of(t) for k, t in templates.items()}
+        self.cue = set().union(*[cues(w, most_changed) for w in self.words.values()])
         self.longest = max(map(len, self.words.values()))
         self.least_gain, self.most_changed = least_gain, most_changed
 
@@ -125,7 +191,7 @@ class Scanner:
     def scan(self, text: str) -> list[dict]:
         """Confirmed notices: the ranking proposes, the wording decides; of overlapping ones the longest and best stays."""
         proposed = []
-        for begin, end in blocks(text, self.longest):
+        for begin, end in blocks(text, self.longest, self.cue):
             spans = [(m.start(), m.end()) for m in WORD.finditer(text, begin, end)]
             words = [text[a:b].lower() for a, b in spans]
             for place, (gain, key) in enumerate(self.rank(text[begin:end]), 1):
@@ -133,11 +199,11 @@ class Scanner:
                 while at < len(words) and (w := self.wording(key, words[at:])):
                     changed = w[2] + w[3]
                     span = spans[at + w[0]][0], spans[at + w[1] - 1][1]
-                    proposed.append((changed - len(self.words[key]), place, -gain, key, span, *w[2:]))
+                    proposed.append((changed - len(self.words[key]), changed, place, -gain, key, span, *w[2:]))
                     at += w[1]
         taken: list[tuple[int, int]] = []
         hits = []
-        for _, place, gain, key, (first, last), missing, added, differences in sorted(proposed):
+        for _, _, place, gain, key, (first, last), missing, added, differences in sorted(proposed):
             if any(first < b and a < last for a, b in taken):
                 continue
             taken.append((first, last))

@@ -42,3 +42,16 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     rows = [(1, None), (2, "Released under the MIT License."), (2, "Released under the MIT License."), (None, "a\nLicensed under CC BY 4.0.")]
     out = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r["doc_id"]), r["license"], r["begin"]) for r in out) == [("2", "MIT", 0), ("2", "MIT", 0), ("None", "CC-BY-4.0", 2)]
+
+
+def test_common_licenses_have_templates():
+    names = {license for license, _ in licenses.TEMPLATES}
+    assert names >= {"All-Rights-Reserved", "BSD-3-Clause", "ISC", "MPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "GPL-2.0", "CC0-1.0", "Unlicense"}
+    hit, = scan("The end of a tale.\nAll rights reserved.")
+    assert (hit["license"], hit["begin"], hit["missing"], hit["added"]) == ("All-Rights-Reserved", 19, 0, 0)
+
+
+def test_gate_follows_the_templates():
+    own = {("House", "line"): "Guests may borrow any volume overnight."}
+    hit, = licenses.Scanner(own, 0.05, 0.1).scan("Welcome.\nGuests may borrow any volume overnight.\nThank you.")
+    assert (hit["license"], hit["begin"]) == ("House", 9)
