@@ -161,16 +161,17 @@ class Scanner:
 
         self.plain = compressor()
         self.with_template = {k: compressor(raw(t)) for k, t in templates.items()}
+        self.own = {k: len(self.plain.compress(t.lower().encode())) for k, t in templates.items()}
         self.words = {k: words_of(t) for k, t in templates.items()}
         self.cue = set().union(*[cues(w, most_changed) for w in self.words.values()])
         self.longest = max(map(len, self.words.values()))
         self.least_gain, self.most_changed = least_gain, most_changed
 
     def rank(self, block: str) -> list[tuple[float, tuple[str, str]]]:
-        """(saved bytes as a share of the bytes that the template could save, template), best first."""
+        """(saved bytes as a share of the bytes that the template could save, its own compressed size; template), best first."""
         raw = block.lower().encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(raw))
-        gains = ((1 - len(c.compress(raw)) / alone, k) for k, c in self.with_template.items())
+        gains = (((alone - len(c.compress(raw))) / self.own[k], k) for k, c in self.with_template.items())
         return sorted((g for g in gains if g[0] >= self.least_gain), key=lambda g: (-g[0], g[1]))
 
     def wording(self, key: tuple[str, str], words: list[str]) -> tuple[int, int, int, int, str] | None:
@@ -239,8 +240,8 @@ def scan_licenses(
     """One row per license notice in a text: key, begin and end (code points), license, template and how it compares.
 
     Whole texts are cut into candidate blocks; each block is compressed alone and with every
-    template as a raw dictionary. Templates that save ``least_gain`` of its size or more are ranked (``place``)
-    and confirmed word by word: notices with more changed words than ``most_changed`` of the template
+    template as a raw dictionary. Templates that save ``least_gain`` or more of their own compressed size, however
+    long the block, are ranked by that share (``place``, ``reduction``) and confirmed word by word: notices with more changed words than ``most_changed`` of the template
     are none. ``missing`` and ``added`` count them, ``differences`` lists them; exact notices have none.
 
     Null and empty texts have no notices. Repeated rows are scanned each. Ties are settled by the

@@ -55,3 +55,13 @@ def test_gate_follows_the_templates():
     own = {("House", "line"): "Guests may borrow any volume overnight."}
     hit, = licenses.Scanner(own, 0.05, 0.1).scan("Welcome.\nGuests may borrow any volume overnight.\nThank you.")
     assert (hit["license"], hit["begin"]) == ("House", 9)
+
+
+@pytest.mark.parametrize("line", ["Released under the MIT License.", "Licensed under CC BY 4.0."])
+def test_short_line_in_a_long_block(line):
+    names = {t: license for (license, _), t in licenses.TEMPLATES.items()}
+    apache = licenses.TEMPLATES["Apache-2.0", "notice"]
+    assert [h["license"] for h in scan(apache + "\n" + line)] == ["Apache-2.0", names[line]]
+    for n in (60, 100, 300):
+        prose = " ".join(f"{w}{i}" for i, w in zip(range(n), "river stone lantern meadow copper window harbour thistle".split() * n))
+        assert [h["license"] for h in scan(f"{prose} {line}")] == [names[line]], n
