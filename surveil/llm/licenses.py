@@ -97,10 +97,8 @@ TEMPLATES: dict[tuple[str, str], str] = {
     ),
 }
 
-UNIT_END = re.compile(r"(?<=[.!?;:])\s+|\n+")
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 LEVEL = 9
-NEIGHBOURS = (0, 1)  # units beside one with a cue that belong to its block: short notices stand out alone, long ones go on
 
 
 def words_of(text: str) -> list[str]:
@@ -119,31 +117,26 @@ def cues(words: list[str], most_changed: float) -> set[str]:
     return out
 
 
-def blocks(text: str, longest: int, cue: Set[str]) -> list[tuple[int, int]]:
-    """Candidate blocks (begin, end): runs of sentences or lines with a cue, without and with their neighbours.
+def blocks(words: list[str], reach: int, cue: Set[str]) -> list[tuple[int, int]]:
+    """Candidate blocks (first word, last word) for notices of at most ``reach`` words: whatever lies so near to a word of ``cue``.
 
-    A run longer than twice ``longest`` words is cut into windows of that many, each beginning
-    ``longest`` words after the one before, so whatever is as long as a template lies whole in one.
+    Line feeds and sentence ends play no part, so it does not matter how a notice is wrapped. Blocks that
+    meet are one. A block longer than twice ``reach`` is cut into windows of that many words, each beginning
+    ``reach`` words after the one before, so whatever is as long as a notice lies whole in one.
     """
-    if cue.isdisjoint(words_of(text)):
-        return []
-    cuts = [0, *[m.end() for m in UNIT_END.finditer(text)], len(text)]
-    units = [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
-    cued = [i for i, (a, b) in enumerate(units) if not cue.isdisjoint(words_of(text[a:b]))]
-    out: dict[tuple[int, int], None] = {}
-    for beside in NEIGHBOURS:
-        runs: list[list[int]] = []
-        for i in sorted({j for i in cued for j in range(max(0, i - beside), min(len(units), i + beside + 1))}):
-            if runs and units[i][0] == runs[-1][1]:
-                runs[-1][1] = units[i][1]
+    runs: list[list[int]] = []
+    for i, word in enumerate(words):
+        if word in cue:
+            if runs and i - reach < runs[-1][1]:
+                runs[-1][1] = min(len(words), i + reach)
             else:
-                runs.append(list(units[i]))
-        for a, b in runs:
-            words = [(m.start(), m.end()) for m in WORD.finditer(text, a, b)]
-            for at in range(0, max(1, len(words) - longest) if words else 0, longest):
-                part = words[at : at + 2 * longest]
-                out[part[0][0], part[-1][1]] = None
-    return list(out)
+                runs.append([max(0, i - reach), min(len(words), i + reach)])
+    return [(at, min(b, at + 2 * reach)) for a, b in runs for at in range(a, max(a + 1, b - reach), reach)]
+
+
+def _joined(words: list[str]) -> bytes:
+    """The words with one space between, so that neither line feeds nor comment marks keep a match from going on."""
+    return " ".join(words).encode("utf-8", "surrogatepass")
 
 
 class Scanner:
@@ -156,23 +149,38 @@ class Scanner:
             params = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
             return zstandard.ZstdCompressor(compression_params=params, dict_data=dictionary)
 
-        def raw(text: str):
-            return zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        def raw(words: list[str]):
+            return zstandard.ZstdCompressionDict(_joined(words), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
-        self.plain = compressor()
-        self.with_template = {k: compressor(raw(t)) for k, t in templates.items()}
-        self.own = {k: len(self.plain.compress(t.lower().encode())) for k, t in templates.items()}
         self.words = {k: words_of(t) for k, t in templates.items()}
+        self.plain = compressor()
+        self.with_template = {k: compressor(raw(w)) for k, w in self.words.items()}
+        self.own = {k: len(self.plain.compress(_joined(w))) for k, w in self.words.items()}
+        self.reach = int(max(map(len, self.words.values()), default=0) * (1 + most_changed)) + 1  # words of a notice, at most
         self.cue = set().union(*[cues(w, most_changed) for w in self.words.values()])
-        self.longest = max(map(len, self.words.values()))
+        self.counts = {k: Counter(w) for k, w in self.words.items()}
         self.least_gain, self.most_changed = least_gain, most_changed
 
-    def rank(self, block: str) -> list[tuple[float, tuple[str, str]]]:
+    def rank(self, block: list[str]) -> list[tuple[float, tuple[str, str]]]:
         """(saved bytes as a share of the bytes that the template could save, its own compressed size; template), best first."""
-        raw = block.lower().encode("utf-8", "surrogatepass")
+        raw = _joined(block)
         alone = len(self.plain.compress(raw))
         gains = (((alone - len(c.compress(raw))) / self.own[k], k) for k, c in self.with_template.items())
-        return sorted((g for g in gains if g[0] >= self.least_gain), key=lambda g: (-g[0], g[1]))
+        return sorted(gains, key=lambda g: (-g[0], g[1]))
+
+    def possible(self, key: tuple[str, str], has: Counter) -> bool:
+        """Whether a block with so many of each word holds enough of the template's words, wherever they are."""
+        wanted = self.counts[key]
+        return sum(n - min(n, has[w]) for w, n in wanted.items()) <= self.most_changed * len(self.words[key])
+
+    def notices(self, key: tuple[str, str], words: list[str]) -> Iterator[tuple[int, int, int, int, str]]:
+        """All wordings of a template: the best, then those before and after it."""
+        todo = [(0, len(words))]
+        while todo:
+            begin, end = todo.pop()
+            if end > begin and self.possible(key, Counter(words[begin:end])) and (w := self.wording(key, words[begin:end])):
+                yield begin + w[0], begin + w[1], *w[2:]
+                todo += [(begin, begin + w[0]), (begin + w[1], end)]
 
     def wording(self, key: tuple[str, str], words: list[str]) -> tuple[int, int, int, int, str] | None:
         """(first word, last word, missing, added, differences) of the template in the block, if near enough."""
@@ -191,17 +199,22 @@ class Scanner:
 
     def scan(self, text: str) -> list[dict]:
         """Confirmed notices: the ranking proposes, the wording decides; of overlapping ones the longest and best stays."""
+        if self.cue.isdisjoint(words_of(text)):
+            return []
+        spans = [(m.start(), m.end()) for m in WORD.finditer(text)]
+        words = [text[a:b].lower() for a, b in spans]
         proposed = []
-        for begin, end in blocks(text, self.longest, self.cue):
-            spans = [(m.start(), m.end()) for m in WORD.finditer(text, begin, end)]
-            words = [text[a:b].lower() for a, b in spans]
-            for place, (gain, key) in enumerate(self.rank(text[begin:end]), 1):
-                at = 0
-                while at < len(words) and (w := self.wording(key, words[at:])):
-                    changed = w[2] + w[3]
-                    span = spans[at + w[0]][0], spans[at + w[1] - 1][1]
-                    proposed.append((changed - len(self.words[key]), changed, place, -gain, key, span, *w[2:]))
-                    at += w[1]
+        for begin, end in blocks(words, self.reach, self.cue):
+            has = Counter(words[begin:end])
+            wanted = {k for k in self.words if self.possible(k, has)}
+            if not wanted:  # nothing could be confirmed
+                continue
+            for place, (gain, key) in enumerate(self.rank(words[begin:end]), 1):
+                for first, last, missing, added, differences in self.notices(key, words[begin:end]) if key in wanted else ():
+                    span, changed = (spans[begin + first][0], spans[begin + last - 1][1]), missing + added
+                    if gain < self.least_gain and changed:  # a few bytes are little to go by, but an exact wording is one
+                        continue
+                    proposed.append((changed - len(self.words[key]), changed, place, -gain, key, span, missing, added, differences))
         taken: list[tuple[int, int]] = []
         hits = []
         for _, _, place, gain, key, (first, last), missing, added, differences in sorted(proposed):
@@ -239,10 +252,12 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per license notice in a text: key, begin and end (code points), license, template and how it compares.
 
-    Whole texts are cut into candidate blocks; each block is compressed alone and with every
-    template as a raw dictionary. Templates that save ``least_gain`` or more of their own compressed size, however
-    long the block, are ranked by that share (``place``, ``reduction``) and confirmed word by word: notices with more changed words than ``most_changed`` of the template
-    are none. ``missing`` and ``added`` count them, ``differences`` lists them; exact notices have none.
+    Blocks are the words as far from the templates' cues as the longest notice reaches, however it is
+    wrapped; each block that holds enough words of one is compressed alone and with every template as a raw
+    dictionary. Templates that save ``least_gain`` or more of their own compressed size, however
+    long the block, are ranked by that share (``place``, ``reduction``) and confirmed word by word: notices with more
+    changed words than ``most_changed`` of the template are none. Exact wordings are notices whatever they save.
+    ``missing`` and ``added`` count the changed words, ``differences`` lists them; exact notices have none.
 
     Null and empty texts have no notices. Repeated rows are scanned each. Ties are settled by the
     template's name. Texts stream; nothing is shuffled. Other columns are not read.

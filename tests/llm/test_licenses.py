@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from surveil.llm import licenses
@@ -65,3 +67,24 @@ def test_short_line_in_a_long_block(line):
     for n in (60, 100, 300):
         prose = " ".join(f"{w}{i}" for i, w in zip(range(n), "river stone lantern meadow copper window harbour thistle".split() * n))
         assert [h["license"] for h in scan(f"{prose} {line}")] == [names[line]], n
+
+
+@pytest.mark.parametrize("key", sorted(licenses.TEMPLATES))
+def test_wrapped_at_any_width(key):
+    scanner = licenses.Scanner(licenses.TEMPLATES, 0.05, 0.1)
+    for width in range(12, 121):
+        lines = textwrap.wrap(licenses.TEMPLATES[key], width, break_long_words=False, break_on_hyphens=False)
+        for mark in ("", "# ", " * "):
+            text = "A plain line.\nAnother one of them\n" + "\n".join(mark + line for line in lines) + "\nThe tale begins here\nand goes on.\n"
+            got = [(h["license"], h["template"], h["missing"], h["added"]) for h in scanner.scan(text)]
+            assert got == [(*key, 0, 0)], (width, mark)
+
+
+def test_changed_notice_before_an_exact_one():
+    changed = MIT.replace("free of charge", "for a charge")
+    assert [(h["license"], h["missing"]) for h in scan(changed + "\n" + MIT + "\n" + changed)] == [("MIT", 2), ("MIT", 0), ("MIT", 2)]
+
+
+def test_exact_line_in_a_block_too_short_to_save_bytes():
+    hit, = scan("are onti ouinhe thtiontien on ththhaha erre erin thanly released under the mit license")
+    assert (hit["license"], hit["missing"], hit["added"]) == ("MIT", 0, 0)
