@@ -56,10 +56,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_simhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Beside the fingerprints: for ids divisible by 50, how many other rows are within a radius of 3 bits."""
+    """Beside the fingerprints: for ids divisible by 50, how many other rows are within simhash.NEAR bits."""
     prints = written(simhash.next_likeness(table(spark, sf_dir, "documents")), "fingerprints")
     asked = prints.filter("doc_id % 50 = 0")
-    near = simhash.search(prints, asked, radius=3).withColumn("asked", F.lit(True))
+    near = simhash.search(prints, asked, radius=simhash.NEAR).withColumn("asked", F.lit(True))
     out = prints.withColumn("asked", F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))).join(near, ["high", "low", "asked"], "left")
     return out.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",

@@ -68,3 +68,38 @@ def test_empty_and_one_row(spark, empty):
     one = spark.createDataFrame([(5, "a b c d")], "doc_id long, text string")
     r = simhash.next_likeness(one).first()
     assert r["near_next"] == 1.0 and r["edited_sha256"] == hashlib.sha256(b"a b a b"[:4] + b"a b").hexdigest()
+
+
+def test_near_copies_are_within_the_registered_radius(spark):
+    from surveil.llm.jaccard import WordHash, shingles
+    from surveil.llm.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.01"
+    cache, sets = WordHash(), {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        if len(h := shingles(r["text"], cache)):
+            sets[r["doc_id"]] = set(h.tolist())
+    rows = {r["doc_id"]: r for r in QUERIES["op5_simhash"](spark, sf_dir).collect()}
+    prints = {k: int(r["fingerprint"], 16) for k, r in rows.items()}
+    keys = sorted(sets)
+    pairs = {
+        (a, b) for i, a in enumerate(keys) for b in keys[:i]
+        if sets[a] != sets[b] and 3 * len(sets[a]) <= 4 * len(sets[b]) <= 5.34 * len(sets[a]) and len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b])
+    }
+    apart = [(prints[a] ^ prints[b]).bit_count() for a, b in pairs]
+    assert len(apart) >= 12 and sum(d <= simhash.NEAR for d in apart) >= 0.9 * len(apart)
+    for k, r in rows.items():
+        want = sum((prints[k] ^ p).bit_count() <= simhash.NEAR for p in prints.values()) - 1 if k % 50 == 0 else None
+        assert r["n_near"] == want
+
+
+def test_search_at_a_large_radius_against_all_pairs(spark):
+    rng = random.Random(2)
+    seeds = [rng.getrandbits(128) for _ in range(5)]
+    prints = [rng.choice(seeds) ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(20))) for _ in range(400)]
+    signed = lambda v: v - 2**64 if v >= 2**63 else v
+    df = spark.createDataFrame([(i, signed(p >> 64), signed(p % 2**64)) for i, p in enumerate(prints)], "i int, high long, low long")
+    for radius in (0, 15, 23, 30):
+        got = {(r["high"], r["low"]): r["n_within"] for r in simhash.search(df, df.filter("i % 20 = 0"), radius=radius).collect()}
+        for p in prints[::20]:
+            assert got[signed(p >> 64), signed(p % 2**64)] == sum((p ^ q).bit_count() <= radius for q in prints)
