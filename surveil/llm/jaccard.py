@@ -20,6 +20,7 @@ SEEN_SETS = 1_000_000
 FIRST_BAND, BAND_RATIO, PARTS_PER_ROW = 64, 8, 8
 EXTRA = 0.15  # signatures beyond the least number, as a share of the set's size
 BROADCAST_ROWS = 500_000  # of 8 bytes
+BLOCK_SETS = 256  # compared with as many in one place
 K = [np.uint64(k) for k in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
 )]
@@ -282,10 +283,16 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The sets of all rows, and links between different sets that connect all that are connected.
+    """``connecting_links`` without the shingles."""
+    return connecting_links(docs, key, text)[:2]
 
-    Returns ``set_sizes`` and (a, b): two sets are in one component of these exactly if a chain of
-    links of similarity 0.75 or more joins them.
+
+def connecting_links(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets of all rows, links between different sets that connect all that are connected, and the shingles of those.
+
+    Returns ``set_sizes``, (a, b) and (ref, hashes): two sets are in one component of (a, b) exactly if a
+    chain of links of similarity 0.75 or more joins them. Not all links are among them, and some of them
+    are no links but join a set with its component; ``linked_copies`` counts the links themselves.
 
     PartEnum signatures say which sets can have links at all (``candidates``), and those sets' rarest
     shared shingles which of them can link (``candidate_groups``). Every group is first compared with its most central member. While a
@@ -322,7 +329,7 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
         split = split.filter((F.col("lo") != F.col("hi")) & (F.col("size") > done)).select("sig")
         open_groups = written(skew_join(now, split, ["sig"]), "open")
         if open_groups.isEmpty():
-            return sizes, links
+            return sizes, links, sets
         upto = 16 * done
         next_ones = open_groups.filter((F.col("rank") >= done) & (F.col("rank") < upto)).select(
             "sig", F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rank_b"), F.col("name").alias("name_b"),
@@ -340,7 +347,47 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> t
         done = upto
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def linked_copies(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(ref, linked): the copies of all other sets that a set has a link with, every one verified; sets without are left out.
+
+    ``members`` (ref, n, name, copies) are the sets in components of several. Links lie inside components. A
+    component is cut into blocks of ``BLOCK_SETS`` by size, and each two of its blocks are compared in one
+    place, so a set travels once per block, not once per pair, and pairs are never rows.
+    """
+    place = F.row_number().over(Window.partitionBy("name").orderBy("n", "ref")) - 1
+    placed = written(members.withColumn("block", F.floor(place / BLOCK_SETS).cast("int")), "members")
+    last = placed.groupBy("name").agg(F.max("block").alias("last"))
+    rows = skew_join(placed, last, ["name"]).withColumn("beside", F.explode(F.sequence(F.lit(0), "last")))
+    rows = rows.select("ref", "name", "copies", "block", F.least("block", "beside").alias("lo"), F.greatest("block", "beside").alias("hi"))
+    rows = skew_join(rows, sets, ["ref"])
+    found = rows.groupBy("name", "lo", "hi").applyInArrow(_linked_in_blocks, "ref long, linked long")
+    return found.groupBy("ref").agg(F.sum("linked").alias("linked"))
+
+
+def _linked_in_blocks(table: pa.Table) -> pa.Table:
+    """The links between the sets of two blocks, or of one, each credited to both ends with the other's copies."""
+    table = table.combine_chunks()
+    refs, copies, block = (table.column(c).to_numpy() for c in ("ref", "copies", "block"))
+    hashes = table.column("hashes").combine_chunks()
+    n = hashes.value_lengths().to_numpy().astype(np.int64)
+    _, ids = np.unique(hashes.flatten().to_numpy(), return_inverse=True)
+    starts = np.r_[0, np.cumsum(n)[:-1]].astype(np.int64)
+    has = np.zeros(ids.max() + 1, np.int64)
+    linked = np.zeros(len(refs), np.int64)
+    one = block.min() == block.max()
+    for i in range(len(refs)):
+        mine = ids[starts[i] : starts[i] + n[i]]
+        has[mine] = 1
+        common = np.add.reduceat(has[ids], starts)
+        has[mine] = 0
+        near = common * HIGH >= (n[i] + n - common) * LOW
+        near &= (np.arange(len(refs)) != i) if one else (block != block[i])
+        linked[i] = copies[near].sum()
+    some = linked > 0
+    return pa.table({"ref": pa.array(refs[some], pa.int64()), "linked": pa.array(linked[some], pa.int64())})
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", count_links: bool = False) -> DataFrame:
     """One row per row: key, n_shingles, component_id, the smallest key reachable by links of similarity 0.75 or more,
     component (a name of the component itself, null without shingles) and text_hash (xxhash64 of the text).
 
@@ -349,13 +396,24 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     texts without words have no shingles and are linked with nothing. Equal sets are one set
     throughout. Repeated rows stay; null keys are never the smallest, and only rows all of whose
     component has null keys get null. No rows in, no rows out. Only ``key`` and ``text`` are read.
+
+    With ``count_links`` also n_links: the other rows that a row has a link of similarity 0.75 or more with. A
+    set links its own copies and counts a linked set by its copies. Every pair of different sets of a component is verified.
     """
-    sizes, links = jaccard_links(docs, key, text)
+    sizes, links, sets = connecting_links(docs, key, text)
     named = components(links)
+    if count_links:
+        named = written(named, "named")
     own = sizes.filter("ref is not null").groupBy("ref").agg(F.min("key").alias("low"))
     own = own.join(named, F.col("ref") == F.col("node"), "left").withColumn("name", F.coalesce("component", "ref"))
     lowest = own.groupBy("name").agg(F.min("low").alias("component_id"))
     of_set = skew_join(own.select("ref", "name"), lowest, ["name"]).select("ref", "name", "component_id")
+    if count_links:
+        copies = sizes.filter("ref is not null").groupBy("ref").agg(F.count("*").alias("copies"), F.first("n_shingles").alias("n"))
+        members = skew_join(copies, named.select(F.col("node").alias("ref"), F.col("component").alias("name")), ["ref"])
+        of_set = skew_join(skew_join(of_set, copies.drop("n"), ["ref"]), linked_copies(members, sets), ["ref"], "left")
+        of_set = of_set.withColumn("links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).drop("copies", "linked")
     out = skew_join(sizes, of_set, ["ref"], "left")
     component = F.when(F.col("ref").isNull(), F.col("key")).otherwise(F.col("component_id"))
-    return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("name").alias("component"), "text_hash")
+    n_links = [F.coalesce("links", F.lit(0)).cast("long").alias("n_links")] if count_links else []
+    return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("name").alias("component"), "text_hash", *n_links)

@@ -41,7 +41,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_jaccard_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), count_links=True)
 
 
 @query("op3_license_scan")

@@ -87,3 +87,24 @@ def test_linked_sets_share_enough_signatures(n, seed):
 def test_bands_meet(n):
     for m in range(jaccard.least(n), n + 1):
         assert set(jaccard.levels(n)) & set(jaccard.levels(m))
+
+
+def test_links_against_all_pairs(spark, odd, odd_rows, empty, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(80)]
+    docs = [(i, t) for i, t, *_ in odd_rows]
+    for i in range(100, 160):  # one group of near copies, not all of which are links, and copies of some
+        w = list(base)
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(80)] = f"v{rng.randrange(1000)}"
+        docs += [(i, " ".join(w))] * rng.choice([1, 1, 3])
+    cache = jaccard.WordHash()
+    sets = [set(jaccard.shingles(t, cache).tolist()) for _, t in docs]
+    want = sorted(
+        (str(k), sum(bool(s) and 100 * len(s & o) >= 75 * len(s | o) for j, o in enumerate(sets) if j != i)) for i, ((k, _), s) in enumerate(zip(docs, sets))
+    )
+    for size in (256, 7):
+        monkeypatch.setattr(jaccard, "BLOCK_SETS", size)
+        out = jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), count_links=True).collect()
+        assert sorted((str(r["doc_id"]), r["n_links"]) for r in out) == want
+    assert jaccard.jaccard_components(empty, count_links=True).collect() == []
