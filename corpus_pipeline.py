@@ -15,8 +15,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the operator rejects: texts that have no language (null, empty or without a letter).
 
     Learned from labelled documents of ``docs``; a prediction replaces neither lang nor any other column.
+    Without a labelled one to learn from, only texts without a letter are rejected.
     """
     labels, model = langid.fit(docs)
+    if model is None:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     return langid.predict(docs, labels, model).filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 

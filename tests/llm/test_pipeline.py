@@ -68,3 +68,9 @@ def test_components_against_search(spark):
     ends = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: name[x] for x in ends}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_language_without_labels_keeps_texts_with_letters(spark):
+    rows = [(1, "clean words"), (2, None), (3, ""), (4, "12 34 !!"), (5, "東京"), (6, "1\nß"), (7, "😀")]
+    docs = spark.createDataFrame([(i, t, None, "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 5, 6]
