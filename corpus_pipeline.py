@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from surveil.llm import jaccard, langid, mixing, packing
 from surveil.llm.queries import QUERIES, WORD_BPE, table
-from surveil.llm.shared import written
+from surveil.llm.shared import free_name, written
 from surveil.operators.joins import skew_join
 
 
@@ -45,7 +45,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All sources to equal weight: each document as often as its source's rate draws it."""
-    return mixing.mix_sources(docs).select(*docs.columns)
+    names = tuple(free_name(docs, n) for n in mixing.OWN)
+    return mixing.mix_sources(docs, names=names).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

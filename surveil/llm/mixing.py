@@ -11,6 +11,7 @@ from surveil.operators.joins import skew_join
 
 UNIFORM_BITS = 52
 KEY_BITS = 60
+OWN = ("rate", "copy", "shuffle_key")  # the columns that are added
 MAX_RATE = 500.0  # exp(-rate) must stay a normal number
 
 
@@ -71,6 +72,7 @@ def mix_sources(
     text: str = "text",
     budget: float = 1.0,
     seed: int = 17,
+    names: tuple[str, str, str] = OWN,
 ) -> DataFrame:
     """Every row as often as its draw says, all shuffled: the columns of ``docs``, then rate, copy and shuffle_key.
 
@@ -81,32 +83,33 @@ def mix_sources(
 
     Equal rows draw alike. Null keys and texts hash as empty; a null source has its own rate.
     Empty texts weigh one byte. No rows in, no rows out. Rates above ``MAX_RATE`` are drawn as a sum
-    of equal parts. Columns of ``docs`` called rate, copy or shuffle_key are refused.
+    of equal parts. ``names`` are those of the added columns; columns of ``docs`` called so are refused.
     """
-    clash = {"rate", "copy", "shuffle_key"} & {c.lower() for c in docs.columns}
+    rate, copy, shuffle_key = names
+    clash = {n.lower() for n in names} & {c.lower() for c in docs.columns}
     if clash:
         raise ValueError(f"rename the input columns {sorted(clash)}")
-    rates = source_rates(docs, weights, default_weight, source, text, budget).select(F.col("source").alias(source), "rate")
+    rates = source_rates(docs, weights, default_weight, source, text, budget).select(F.col("source").alias(source), F.col("rate").alias(rate))
     rows = skew_join(docs, rates, [source])
     rows = rows.withColumn("__id", F.md5(F.coalesce(F.col(text), F.lit(""))))
     # a sum of equal Poisson parts; nearly always one
-    parts = F.greatest(F.ceil(F.col("rate") / MAX_RATE), F.lit(1)).cast("int")
+    parts = F.greatest(F.ceil(F.col(rate) / MAX_RATE), F.lit(1)).cast("int")
     rows = rows.withColumn("__u", F.struct(uniform(seed, key, "__id").alias("u"), parts.alias("parts")))
-    first = poisson(F.col("__u.u"), F.col("rate") / F.col("__u.parts"))
+    first = poisson(F.col("__u.u"), F.col(rate) / F.col("__u.parts"))
     more = F.aggregate(
         F.filter(F.sequence(F.lit(1), F.col("__u.parts")), lambda i: i > 1),
         F.lit(0),
-        lambda n, i: n + poisson(_again(seed, key, i), F.col("rate") / F.col("__u.parts")),
+        lambda n, i: n + poisson(_again(seed, key, i), F.col(rate) / F.col("__u.parts")),
     )
     rows = rows.withColumn("__n", first + more)
-    rows = rows.filter("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-    order = F.md5(F.concat_ws("/", F.lit(f"{seed}o"), F.coalesce(F.col(key).cast("string"), F.lit("")), "__id", F.col("copy").cast("string")))
-    rows = rows.withColumn("shuffle_key", F.conv(F.substring(order, 1, 15), 16, 10).cast("long"))
-    rows = rows.select(*docs.columns, "rate", "copy", "shuffle_key")
+    rows = rows.filter("__n > 0").withColumn(copy, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    order = F.md5(F.concat_ws("/", F.lit(f"{seed}o"), F.coalesce(F.col(key).cast("string"), F.lit("")), "__id", F.col(copy).cast("string")))
+    rows = rows.withColumn(shuffle_key, F.conv(F.substring(order, 1, 15), 16, 10).cast("long"))
+    rows = rows.select(*docs.columns, *names)
     # the keys are uniform, so equal ranges of them need no sampling pass over the texts
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = F.shiftright(F.shiftright("shuffle_key", KEY_BITS - 30) * n, 30).cast("int")
-    return rows.repartitionById(n, part).sortWithinPartitions("shuffle_key")
+    part = F.shiftright(F.shiftright(shuffle_key, KEY_BITS - 30) * n, 30).cast("int")
+    return rows.repartitionById(n, part).sortWithinPartitions(shuffle_key)
 
 
 def _again(seed: int, key: str, i: Column) -> Column:

@@ -74,3 +74,12 @@ def test_language_without_labels_keeps_texts_with_letters(spark):
     rows = [(1, "clean words"), (2, None), (3, ""), (4, "12 34 !!"), (5, "東京"), (6, "1\nß"), (7, "😀")]
     docs = spark.createDataFrame([(i, t, None, "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, "").collect()) == [1, 5, 6]
+
+
+def test_mix_takes_clashing_names(spark, odd):
+    docs = odd.select("doc_id", "text", "source")
+    clashing = docs.selectExpr("*", "'r' AS Rate", "'c' AS copy", "'s' AS shuffle_key")
+    mixed = corpus_pipeline.mix(spark, clashing, "")
+    assert mixed.columns == clashing.columns
+    want = Counter((*r, "r", "c", "s") for r in corpus_pipeline.mix(spark, docs, "").collect())
+    assert Counter(map(tuple, mixed.collect())) == want
