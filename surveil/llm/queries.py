@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveil.llm import chat, jaccard, langid, licenses, lm, mixing, neardup, packing, sharding, simhash
+from surveil.llm import chat, jaccard, langid, licenses, lm, mixing, neardup, packing, resampling, sharding, simhash, toxicity, vectorcodes
 from surveil.llm.shared import written
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -98,3 +98,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_neardup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("op11_vector_codes", vectorcodes.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.code_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_importance_resampling", resampling.oracle())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    texts = docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "text")
+    return toxicity.predict(texts, model).drop("text")
