@@ -7,12 +7,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from surveil.functions.nulls import null_to_zero
+from surveil.operators.collation import EXACT, distinct_records, is_collated
 
 
-def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def skew_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", collation: str | None = None
+) -> DataFrame:
     """Equi-join on shared key names in which null keys match null keys.
 
     Adaptive execution splits a hot key only if each join input is a plain shuffle and no
@@ -22,21 +26,39 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     columns of this join and dropped afterwards, rules both out: every skew_join shuffles
     its inputs itself, and nothing behind it can lean on that. A small side is still
     broadcast by measured size, and then neither side is shuffled.
+
+    Text keys are compared by their columns' collation, or by ``collation`` whatever the columns carry. The
+    hash does not follow collations, so such keys are salted as text: the tag is appended, which
+    leaves equal what is equal, and Spark shuffles by the collation key of the longer text.
     """
     for k in keys:
         mine, theirs_type = left.schema[k].dataType, right.schema[k].dataType
-        if mine != theirs_type:  # equal values of two types hash differently
-            raise TypeError(f"join key {k!r} is {mine.simpleString()} and {theirs_type.simpleString()}")
+        if mine != theirs_type and not (collation and isinstance(mine, StringType) and isinstance(theirs_type, StringType)):
+            raise TypeError(f"join key {k!r} is {mine.simpleString()} and {theirs_type.simpleString()}")  # equal values of two types hash differently
     tag = F.lit("|".join(right.columns))
     theirs = {k: f"__r_{k}" for k in keys}
-    right = right.withColumn("__rh", F.xxhash64(tag, *keys)).withColumnsRenamed(theirs)
-    left = left.withColumn("__lh", F.xxhash64(tag, *keys))
-    on = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(r)) for k, r in theirs.items()],
-        F.col("__lh") == F.col("__rh"),
-    )
-    return left.join(right, on, how).drop("__lh", "__rh", *theirs.values())
+
+    def compared(df: DataFrame, k: str, name: str) -> tuple[Column, bool]:
+        kind = df.schema[k].dataType
+        if collation and isinstance(kind, StringType):
+            return F.collate(F.col(name), collation), collation != EXACT
+        return F.col(name), is_collated(kind)
+
+    as_text = [k for k in keys if compared(left, k, k)[1]]
+    plain = [k for k in keys if k not in as_text]
+    on = []
+    if plain or not as_text:
+        right = right.withColumn("__rh", F.xxhash64(tag, *[compared(right, k, k)[0] for k in plain]))
+        left = left.withColumn("__lh", F.xxhash64(tag, *[compared(left, k, k)[0] for k in plain]))
+        on.append(F.col("__lh") == F.col("__rh"))
+    kinds = right
+    right = right.withColumnsRenamed(theirs)
+    for k, r in theirs.items():
+        a, b = compared(left, k, k)[0], compared(kinds, k, r)[0]
+        on.append(a.eqNullSafe(b))
+        if k in as_text:
+            on.append(F.concat(a, F.concat(F.lit("|"), tag)).eqNullSafe(F.concat(b, F.concat(F.lit("|"), tag))))
+    return left.join(right, reduce(lambda a, b: a & b, on), how).drop("__lh", "__rh", *theirs.values())
 
 
 def cases_labs(labs: DataFrame, cases: DataFrame, key: str) -> DataFrame:
@@ -47,8 +69,8 @@ def cases_labs(labs: DataFrame, cases: DataFrame, key: str) -> DataFrame:
     two distinct sides is distinct. Null keys join nothing.
     """
     return skew_join(
-        labs.filter(F.col(key).isNotNull()).distinct(),
-        cases.filter(F.col(key).isNotNull()).distinct(),
+        distinct_records(labs.filter(F.col(key).isNotNull())),
+        distinct_records(cases.filter(F.col(key).isNotNull())),
         [key],
     )
 
@@ -61,8 +83,8 @@ def cases_labs_totals(labs: DataFrame, cases: DataFrame, key: str, totals: dict[
     lab total times the case's distinct rows. Totals are therefore summed from the labs
     alone and travel with the case row: the wide rows are joined once.
     """
-    labs = labs.filter(F.col(key).isNotNull()).distinct()
-    cases = cases.filter(F.col(key).isNotNull()).distinct()
+    labs = distinct_records(labs.filter(F.col(key).isNotNull()))
+    cases = distinct_records(cases.filter(F.col(key).isNotNull()))
     per_lab = labs.groupBy(key).agg(
         *[(F.count(F.lit(1)) if c is None else F.sum(c)).alias(name) for name, c in totals.items()]
     )

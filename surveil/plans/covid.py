@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from surveil.functions import codes
 from surveil.functions.periods import ReportPeriod, within
 from surveil.functions.rules import covid_classification_qc, covid_positive, inconclusive_qc
+from surveil.operators.collation import EXACT, collated, exact
 from surveil.operators.joins import cases_labs_totals
 
 LAB_COLUMNS = (
@@ -41,8 +42,15 @@ def classification_report(
     state: str | None = None,
     as_written: bool = False,
     ci: bool = True,
+    collation: str = EXACT,
 ) -> DataFrame:
-    """One row per distinct case-lab record with case totals and Pass or Fail."""
+    """One row per distinct case-lab record with case totals and Pass or Fail.
+
+    ``collation`` is that of the warehouse: the codes in the rules, the state, the key that joins labs and
+    cases, and DISTINCT compare texts by it. Records that it makes equal show the least text of each column.
+    ``ci`` is about LIKE patterns; a collation that ignores case makes them ignore it too.
+    """
+    labs, cases = collated(labs, collation), collated(cases, collation)
     if state is not None:
         cases = cases.filter(F.col("state") == state)
     missing = [c for c in LAB_COLUMNS if c not in labs.columns] + [c for c in CASE_COLUMNS if c not in cases.columns]
@@ -61,4 +69,4 @@ def classification_report(
             "total_ab": F.col("ab_positive"),
         },
     )
-    return rows.withColumn("classification_qc", covid_classification_qc())
+    return exact(rows.withColumn("classification_qc", covid_classification_qc()))

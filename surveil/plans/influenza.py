@@ -14,6 +14,7 @@ from surveil.functions.nulls import is_in
 from surveil.functions.text import text_positive
 from surveil.functions.typing import flu_subtype, flu_type, report_category
 from surveil.operators.aggregates import count_rows, month_counts, rows
+from surveil.operators.collation import EXACT, collated, exact
 from surveil.operators.joins import (
     attach_typing, cases_labs, cases_labs_totals, interval_match, member_flag, skew_join,
 )
@@ -37,7 +38,7 @@ def known_labs(labs: DataFrame) -> DataFrame:
     """Records of listed tests, with the positive-text flag of the result value."""
     return labs.filter(F.col("test").isin(codes.known_tests(codes.FLU_TESTS))).withColumn(
         "value_positive",
-        text_positive("result_value", codes.FLU_TEXT_POSITIVE, codes.FLU_TEXT_NEGATIVE),
+        text_positive(F.collate("result_value", EXACT), codes.FLU_TEXT_POSITIVE, codes.FLU_TEXT_NEGATIVE),
     )
 
 
@@ -48,12 +49,16 @@ def _of_cases(labs: DataFrame, cases: DataFrame, narrowed: bool) -> DataFrame:
 
 
 def case_records(
-    labs: DataFrame, cases: DataFrame, period: ReportPeriod | None = None, state: str | None = None
+    labs: DataFrame, cases: DataFrame, period: ReportPeriod | None = None, state: str | None = None, collation: str = EXACT
 ) -> DataFrame:
-    """Distinct case-lab records of listed tests."""
-    cases = season_cases(cases, period, state)
-    labs = _of_cases(known_labs(labs), cases, period is not None)
-    return cases_labs(labs, cases, "case_id")
+    """Distinct case-lab records of listed tests.
+
+    ``collation`` is that of the warehouse, by which tests, state, key and records are compared here; the
+    rules on these records compare byte for byte.
+    """
+    cases = season_cases(collated(cases, collation), period, state)
+    labs = _of_cases(known_labs(collated(labs, collation)), cases, period is not None)
+    return exact(cases_labs(labs, cases, "case_id"))
 
 
 def case_check(
