@@ -68,6 +68,17 @@ def whole_number(c: ColumnOrName, kind: str = "int") -> Column:
     return F.when(value.isNull(), F.lit(None).cast(kind)).when(whole, number.cast(kind)).otherwise(wrong)
 
 
+def not_whole(c: ColumnOrName) -> Column:
+    """The text is there and is no whole number: what ``whole_number`` refuses."""
+    number = to_number(c)
+    return as_col(c).isNotNull() & ~is_true(number == F.floor(number))
+
+
+def not_number(c: ColumnOrName) -> Column:
+    """The text is there and is no number: what ``to_number`` drops."""
+    return as_col(c).isNotNull() & to_number(c).isNull()
+
+
 def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     """num / den as double, null when the denominator is zero."""
     return F.try_divide(as_col(num).cast("double"), as_col(den).cast("double"))

@@ -84,6 +84,21 @@ def composite_key(cols: Sequence[ColumnOrName], sep: str = "-") -> Column:
     )
 
 
+# A quarter's key: year and quarter as printed, either of them also with a decimal ("2023-2", "2023.0-2", "2023 / 2.0").
+QUARTER_KEY = r"^\s*([0-9]{4})(?:\.0+)?[^A-Za-z0-9.]+([1-4])(?:\.0+)?\s*$"
+
+
+def quarter_parts(c: ColumnOrName) -> tuple[Column, Column]:
+    """Year and quarter of a quarter's key; both null when it is no such key."""
+    found = F.regexp_extract(as_col(c), QUARTER_KEY, 1), F.regexp_extract(as_col(c), QUARTER_KEY, 2)
+    return tuple(F.nullif(part, F.lit("")).cast("int") for part in found)
+
+
+def bad_quarter_key(c: ColumnOrName) -> Column:
+    """The key is missing or names no year and quarter."""
+    return ~is_true(as_col(c).rlike(QUARTER_KEY))
+
+
 def split_parts(c: ColumnOrName, n: int) -> list[Column]:
     """The first n parts of a text split on anything that is no letter or digit."""
     parts = F.split(as_col(c), "[^A-Za-z0-9]+")

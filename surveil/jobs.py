@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveil.functions.periods import ReportPeriod
+from surveil.operators import rejects
 from surveil.operators.aggregates import typing_summary
 from surveil.operators.joins import grid
 from surveil.operators.reshape import sort_report
@@ -32,13 +33,16 @@ class Job:
     def period(self) -> ReportPeriod:
         return ReportPeriod(self.as_of)
 
+    def path(self, report: str) -> str:
+        return f"{self.out}/{report}/as_of={self.as_of.isoformat()}"
+
     def save(self, df: DataFrame, report: str, fmt: str = "parquet") -> None:
         writers.write_report(df, f"{self.out}/{report}", self.as_of, fmt)
 
     def saved(self, df: DataFrame, report: str) -> DataFrame:
         """Write the report and go on from the written table."""
         self.save(df, report)
-        return self.spark.read.schema(df.schema).parquet(f"{self.out}/{report}/as_of={self.as_of.isoformat()}")
+        return self.spark.read.schema(df.schema).parquet(self.path(report))
 
 
 def covid_job(job: Job, labs: DataFrame, cases: DataFrame, state: str | None = None, **options) -> None:
@@ -115,9 +119,17 @@ def indicators_job(
     timeliness: Sequence[TimelinessSheets] = (),
     pass_rates: Sequence[PassRateSheets] = (),
 ) -> None:
-    """Completeness, pass rate and classification per quarter for the regions and for the state, and the sheets' indicators."""
+    """Completeness, pass rate and classification per quarter for the regions and for the state, and the sheets' indicators.
+
+    Rejections whose region or quarter cannot be read go to a report of their own with the reason, and are counted there.
+    """
     quarters = [1, 2, 3, 4]
-    incorrect = None if rejections is None else job.saved(indicators.incorrect_by_quarter(rejections, ["region"]), "indicator_rejections")
+    incorrect = None
+    if rejections is not None:
+        rows = rejects.split_rows(rejections, indicators.rejection_checks(["region"]), job.path("indicator_rejection_rows"))
+        job.save(rows.rejected, "indicator_rejected_rows")
+        job.save(rejects.reject_counts(rows.rejected), "indicator_reject_counts", "csv")
+        incorrect = job.saved(indicators.incorrect_by_quarter(rows.good, ["region"]), "indicator_rejections")
     scopes = {
         "region": grid(job.spark, region=regions, year=years, quarter=quarters),
         "state": grid(job.spark, year=years, quarter=quarters),

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveil.functions import codes
-from surveil.functions.nulls import any_of, is_in, null_to_zero, pct_from_text, safe_pct, safe_ratio, sentinel_to_null, to_number, whole_number
+from surveil.functions.nulls import (
+    any_of, is_in, not_number, not_whole, null_to_zero, pct_from_text, safe_pct, safe_ratio, sentinel_to_null, to_number, whole_number,
+)
 from surveil.functions.rules import meets_target
-from surveil.functions.text import composite_key, count_label, split_parts, year_label
+from surveil.functions.text import bad_quarter_key, composite_key, count_label, matches, quarter_parts, year_label
 from surveil.operators.aggregates import incorrect_counts, rows
 from surveil.operators.joins import densify, skew_join
 from surveil.operators.reshape import (
@@ -113,37 +115,52 @@ def pass_rate_grid(
     return labelled_grid(rates.select(*full_grid.columns, "n", "var6"), full_grid, current)
 
 
-def completeness_from_sheets(sheets: DataFrame, names: Sequence[str], skip: int) -> DataFrame:
-    """Printed sheets with one row per quarter, keyed '2023-2', under ``skip`` header rows.
+def completeness_rows(sheets: DataFrame, names: Sequence[str], skip: int) -> DataFrame:
+    """The data rows of printed completeness sheets, all text: ``skip`` header rows, total rows and blank rows are gone."""
+    body = repair_header(sheets, names, skip)
+    return body.filter(sentinel_to_null("year_qrtr", *TOTALS).isNotNull())
 
-    Total rows and blank rows go; a key that is no year and quarter is an error.
 
-    ``names`` names the cells by position; ``region`` and ``year_qrtr`` stay text, ``n`` is
-    a count and all others are shares.
-    """
-    body = repair_header(sheets, names, skip)
-    body = body.filter(sentinel_to_null("year_qrtr", *TOTALS).isNotNull())
-    year, quarter = split_parts("year_qrtr", 2)
+def completeness_checks(names: Sequence[str]) -> dict[str, Column]:
+    """What can be wrong with a row of ``completeness_rows``, for ``rejects.split_rows``."""
+    shares = [c for c in names if c not in ("region", "year_qrtr", "n")]
+    return {
+        "year_qrtr is no year and quarter": bad_quarter_key("year_qrtr"),
+        "n is not a whole number": not_whole("n"),
+        **{f"{c} is not a number": not_number(c) for c in shares},
+    }
+
+
+def completeness_values(body: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of ``completeness_rows`` as numbers; one that fails a check is an error."""
+    year, quarter = quarter_parts("year_qrtr")
+    wrong = F.raise_error(F.concat(F.lit("no year and quarter: "), F.coalesce(F.col("year_qrtr"), F.lit("null")))).cast("int")
     shares = [c for c in names if c not in ("region", "year_qrtr", "n")]
     return body.select(
         *[c for c in ("region",) if c in names],
-        whole_number(year).alias("year"),
-        whole_number(quarter).alias("quarter"),
+        F.coalesce(year, wrong).alias("year"),
+        F.coalesce(quarter, wrong).alias("quarter"),
         whole_number("n", "bigint").alias("n"),
         *[to_number(c).alias(c) for c in shares],
     )
 
 
-def timeliness_from_sheets(
-    sheets: DataFrame, names: Sequence[str], skip: int, keys: Sequence[str], header_row: int | None = None
-) -> DataFrame:
-    """Pass and N per quarter from tabulations that print a group's name once.
+def completeness_from_sheets(sheets: DataFrame, names: Sequence[str], skip: int) -> DataFrame:
+    """Printed sheets with one row per quarter, keyed '2023-2', under ``skip`` header rows.
 
-    Columns are named by position, header rows dropped, numbers missing in the data taken
-    from the header row, group names carried down, and header words among them removed.
-    Only header rows, total rows and blank rows go: a year, quarter or count that is neither
-    missing nor a whole number, and a data row without a quarter, are errors.
+    Total rows and blank rows go; a key that is no year and quarter is an error. To go on without such rows and
+    see them, split ``completeness_rows`` by ``completeness_checks``.
+
+    ``names`` names the cells by position; ``region`` and ``year_qrtr`` stay text, ``n`` is
+    a count and all others are shares.
     """
+    return completeness_values(completeness_rows(sheets, names, skip), names)
+
+
+def timeliness_rows(
+    sheets: DataFrame, names: Sequence[str], skip: int, keys: Sequence[str], header_row: int | None = None
+) -> DataFrame:
+    """The data rows of timeliness tabulations with their group names carried down; keys and counts as printed."""
     if header_row is not None:
         named = repair_header(sheets, names)
         body = drop_first_n(header_fallback(named, ["n_pass", "n"], header_row), skip)
@@ -153,10 +170,36 @@ def timeliness_from_sheets(
     heading = any_of(is_in(k, [k.capitalize()]) for k in keys)
     blank = F.coalesce("quarter", F.col("n_pass").cast("string"), F.col("n").cast("string")).isNull()
     groups = [k for k in keys if k != "quarter"]
-    filled = fill_down(body.filter(~(total | heading | blank)), groups, [SHEET], ROW)
+    return fill_down(body.filter(~(total | heading | blank)), groups, [SHEET], ROW)
+
+
+def timeliness_checks(keys: Sequence[str]) -> dict[str, Column]:
+    """What can be wrong with a row of ``timeliness_rows``, for ``rejects.split_rows``."""
+    return {
+        **{f"{k} is missing": F.col(k).isNull() for k in keys},
+        **{f"{c} is not a whole number": not_whole(c) for c in (*[k for k in keys if k in QUARTER], "n_pass", "n")},
+    }
+
+
+def timeliness_from_sheets(
+    sheets: DataFrame, names: Sequence[str], skip: int, keys: Sequence[str], header_row: int | None = None
+) -> DataFrame:
+    """Pass and N per quarter from tabulations that print a group's name once.
+
+    Columns are named by position, header rows dropped, numbers missing in the data taken
+    from the header row, group names carried down, and header words among them removed.
+    Only header rows, total rows and blank rows go: a year, quarter or count that is neither
+    missing nor a whole number, and a data row without a quarter, are errors.
+    """
+    filled = timeliness_rows(sheets, names, skip, keys, header_row)
     lost = any_of(F.col(k).isNull() for k in keys)
     error = F.raise_error(F.concat(F.lit("a row without "), F.lit(" or ".join(keys)), F.lit(": "), F.to_json(F.struct(SHEET, ROW))))
     filled = filled.withColumn("quarter", F.when(lost, error.cast("string")).otherwise(F.col("quarter")))
+    return timeliness_values(filled, keys)
+
+
+def timeliness_values(filled: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``timeliness_rows`` as numbers; text that is no whole number is an error."""
     return filled.select(
         SHEET,
         *[whole_number(k).alias(k) if k in QUARTER else F.col(k) for k in keys],
@@ -173,11 +216,22 @@ def timeliness_grid(counts: DataFrame, full_grid: DataFrame, current: tuple[int,
 
 # ---- classification ------------------------------------------------------------------
 
+def rejection_checks(by: Sequence[str] = ()) -> dict[str, Column]:
+    """What can be wrong with a row of the rejections, for ``rejects.split_rows``: only rows that are counted need their keys."""
+    counted = matches("reason", "Incorrect", ci=True)
+    missing = {f"{c} is missing": counted & F.col(c).isNull() for c in by}
+    return missing | {"year_qrtr is no year and quarter": counted & bad_quarter_key("year_qrtr")}
+
+
 def incorrect_by_quarter(rejections: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rejections for an incorrect classification per quarter, from a '2023-2' key."""
-    year, quarter = split_parts("year_qrtr", 2)
-    parts = rejections.withColumns({"year": year.try_cast("int"), "quarter": quarter.try_cast("int")})
-    return incorrect_counts(parts, "reason", [*by, *QUARTER])
+    """Rejections for an incorrect classification per quarter, from a '2023-2' key.
+
+    A key that is no year and quarter is an error; ``rejection_checks`` tells such rows beforehand.
+    """
+    year, quarter = quarter_parts("year_qrtr")
+    counts = incorrect_counts(rejections.withColumns({"year": year, "quarter": quarter}), "reason", [*by, *QUARTER])
+    lost = F.raise_error(F.concat(F.col("n_incorrect").cast("string"), F.lit(" rejections whose key is no year and quarter"))).cast("int")
+    return counts.withColumns({c: F.coalesce(c, lost) for c in QUARTER})
 
 
 def classification_rate(cells: DataFrame, incorrect: DataFrame, keys: Sequence[str], years: Sequence[int]) -> DataFrame:
