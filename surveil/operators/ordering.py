@@ -46,6 +46,6 @@ def number_rows(
     for k in range(max(counts, default=-1) + 1):
         before.append(str(total))
         total += counts.get(k, 0)
-    offsets = F.split(F.lit(",".join(before)), ",").cast("array<bigint>")  # one literal, folded once
+    offsets = F.split(F.lit(",".join(before or ["0"])), ",").cast("array<bigint>")  # one literal, folded once
     number = F.get(offsets, part.cast("int")) + row + 1
     return placed.select(*[F.col(f"`{c}`") for c in df.columns], number.alias(name))

@@ -6,7 +6,7 @@ import os
 import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -22,6 +22,8 @@ def write_report(df: DataFrame, path: str, as_of: date, fmt: str = "parquet") ->
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         write_csv(df, target)
+    elif fmt == "lines":
+        write_lines(df, target)
     else:
         writer.format(fmt).save(target)
 
@@ -72,6 +74,47 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFr
     )
 
 
+# Escapes that keep a record on one line and whole. The backslash comes first, and the null token is no text's encoding.
+LINE_ESCAPES = {"\\": "\\\\", "\n": "\\n", "\r": "\\r", "\0": "\\0"}
+
+
+def one_line(c: str | Column) -> Column:
+    """The text without line breaks: backslash, line feed, carriage return and NUL become two characters each."""
+    out = F.col(c) if isinstance(c, str) else c
+    for char, escape in LINE_ESCAPES.items():
+        out = F.replace(out, F.lit(char), F.lit(escape))
+    return out
+
+
+def many_lines(c: str | Column) -> Column:
+    """Undoes ``one_line``: between doubled backslashes, a backslash begins one of the other escapes."""
+    encoded = F.col(c) if isinstance(c, str) else c
+
+    def breaks(part: Column) -> Column:
+        for char, escape in list(LINE_ESCAPES.items())[1:]:
+            part = F.replace(part, F.lit(escape), F.lit(char))
+        return part
+
+    decoded = F.array_join(F.transform(F.split(encoded, r"\\\\", -1), breaks), "\\")
+    return F.when(F.contains(encoded, F.lit("\\")), decoded).otherwise(encoded)
+
+
+def write_lines(df: DataFrame, path: str) -> None:
+    """CSV with one line per record, whatever its texts hold, so that a file of any size can be split between readers.
+
+    Texts are written by ``one_line``; quotes and separators inside them are quoted as usual. A missing
+    text is the bare token, which no written text equals. ``read_lines`` gives the same rows.
+    """
+    texts = {f.name: one_line(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, StringType)}
+    df.withColumns(texts).write.mode("overwrite").options(quoteAll=True, **CSV_OPTIONS).csv(path)
+
+
+def read_lines(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """Counterpart of ``write_lines``. Files are cut at line ends into parts of ``spark.sql.files.maxPartitionBytes``."""
+    df = spark.read.schema(schema).options(multiLine=False, **CSV_OPTIONS).csv(path)
+    return df.withColumns({f.name: many_lines(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, StringType)})
+
+
 def report_name(prefix: str, as_of: date, year_week: tuple[int, int] | None = None) -> str:
     """Folder name with the date, or with the epidemiological year and week."""
     return f"{prefix}{year_week[0]}{year_week[1]}" if year_week else f"{prefix} {as_of.isoformat()}"
