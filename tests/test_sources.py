@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from surveil.functions.periods import ReportPeriod
 from surveil.sources import readers, writers
@@ -89,3 +90,46 @@ def test_date_range_and_columns_reach_the_scan(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(d,2024-02-01), LessThanOrEqual(d,2024-02-29)" in plan
     assert "ReadSchema: struct<i:int,d:date>" in plan
+
+
+def satisfied(predicates, rows, name="k"):
+    """How many of the WHERE clauses each row satisfies, by DuckDB."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE t ({name} {'VARCHAR' if any(isinstance(r, str) for r in rows) else 'BIGINT'})")
+    con.executemany("INSERT INTO t VALUES (?)", [(r,) for r in rows])
+    return [[v for (v,) in con.execute(f"SELECT {name} FROM t WHERE {p}").fetchall()] for p in predicates]
+
+
+@pytest.mark.parametrize("cuts", [[], [5], [3, 7, 7, 20], [-4, 0, 1000]])
+def test_range_predicates_part_every_row_once(cuts):
+    rows = [None, -5, -4, 0, 3, 4, 5, 6, 7, 8, 19, 20, 21, 1000, 2000]
+    parts = satisfied(readers.range_predicates("k", cuts), rows)
+    assert sorted(sum(parts, []), key=str) == sorted(rows, key=str)
+    assert len(parts) == len(set(cuts)) + 1
+
+
+def test_range_predicates_of_texts_are_quoted():
+    rows = ["a", "O'Hara", "O'Hara2", "zz", None]
+    parts = satisfied(readers.range_predicates("k", ["O'Hara", "z"]), rows)
+    assert parts == [[None], ["a", "O'Hara", "O'Hara2"], ["zz"]]
+
+
+def test_hash_predicates_part_every_row_once():
+    rows = [None, *range(-20, 21), 2**40]
+    parts = satisfied(readers.hash_predicates("k", 7), rows)
+    assert sorted(sum(parts, []), key=str) == sorted(rows, key=str) and len(parts) == 7
+    assert max(map(len, parts)) <= 8
+
+
+def test_quantile_cuts_of_a_skewed_key(spark):
+    """Equal strides would put all but a few rows into one part."""
+    df = spark.range(20_000).select(F.when(F.col("id") < 19_900, F.col("id")).otherwise(F.col("id") * 10**9).alias("k"))
+    cuts = readers.quantile_cuts(df, "k", 8)
+    sizes = [df.filter(p).count() for p in readers.range_predicates("k", cuts)]
+    assert sum(sizes) == 20_000 and max(sizes) < 1.1 * 20_000 / 8
+    hot = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
+    sizes = [hot.filter(p).count() for p in readers.range_predicates("k", readers.quantile_cuts(hot, "k", 6))]
+    assert sum(sizes) == 9000 and max(sizes) < 9000 / 3 + 2 * 9000 / 6  # the hot value itself cannot be parted by ranges
+    assert readers.quantile_cuts(df.limit(0), "k", 4) == [] and readers.quantile_cuts(df, "k", 1) == []
