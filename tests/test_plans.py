@@ -114,6 +114,17 @@ def test_coinfections(coinfected):
     assert sorted(written) == ["both", "both", "far", "near", "said"]
 
 
+def test_as_written_the_case_number_alone_is_the_case(spark, rows):
+    """Two parties under one number: their findings meet as written, and not otherwise."""
+    d = date(2024, 1, 1)
+    typed = spark.createDataFrame(
+        [(2, "n", "Flu A", d), (1, "n", "Flu B", d), (3, "n", "Flu A", None), (1, "m", "Flu A", d), (1, "m", "Flu B", None), (4, "x", "Flu A", None), (4, "x", "Flu B", d)],
+        "party_id int, case_id string, flu_type string, specimen_date date",
+    )
+    assert rows(influenza.coinfections_by_date(typed, as_written=True), "party_id", "case_id") == [(1, "m"), (2, "n")]
+    assert rows(influenza.coinfections_by_date(typed), "party_id", "case_id") == []
+
+
 def test_recode_and_summary(coinfected, rows):
     found = influenza.coinfections(coinfected)
     recoded = influenza.recode_coinfections(coinfected, found)

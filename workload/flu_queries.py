@@ -305,7 +305,7 @@ def coinfection_by_date(spark, sf_dir):
 
 @query(
     "coinfection_by_date_as_written",
-    f"""{ALL} SELECT party_id, case_id FROM typed GROUP BY party_id, case_id
+    f"""{ALL} SELECT min(party_id) FILTER (flu_type = 'Flu A' AND specimen_date IS NOT NULL) AS party_id, case_id FROM typed GROUP BY case_id
     HAVING count(*) FILTER (flu_type = 'Flu A' AND specimen_date IS NOT NULL) > 0
        AND count(*) FILTER (flu_type = 'Flu B') > 0""",
 )
