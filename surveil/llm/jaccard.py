@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from surveil.llm.shared import components, written
+from surveil.llm.shared import components, shared_folder, written
 from surveil.operators.joins import skew_join
+from surveil.operators.ordering import number_rows
 
 SHINGLE = 5
 LOW, HIGH = 75, 100  # the least similarity as a fraction
@@ -20,7 +22,7 @@ SEEN_SETS = 1_000_000
 FIRST_BAND, BAND_RATIO, PARTS_PER_ROW = 64, 8, 8
 EXTRA = 0.15  # signatures beyond the least number, as a share of the set's size
 BROADCAST_ROWS = 500_000  # of 8 bytes
-BLOCK_SETS = 256  # compared with as many in one place
+BLOCK_SETS = 512  # compared with as many in one place
 K = [np.uint64(k) for k in (
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB,
 )]
@@ -120,49 +122,33 @@ def _digest(h: np.ndarray) -> int:
     return int(np.array(xxhash.xxh3_64_intdigest(h.tobytes()) & ~7, np.uint64).view(np.int64))
 
 
-def set_sizes(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per row: key, text_hash, n_shingles, ref (names the set; null without shingles)."""
-    kind = docs.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHash()
-        for batch in batches:
-            sizes, refs = [], []
-            for value in batch.column(2):
-                h = shingles(value.as_py(), cache)
-                sizes.append(len(h))
-                refs.append(_digest(h) if len(h) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(refs, pa.int64())], names=["key", "text_hash", "n_shingles", "ref"]
-            )
+def set_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """One pass over the texts: (sig, ref, doc), a row per row of ``docs`` and a row per signature.
 
-    return docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text)).mapInArrow(
-        run, f"key {kind}, text_hash long, n_shingles long, ref long"
-    )
-
-
-def signature_rows(docs: DataFrame, text: str) -> DataFrame:
-    """(sig, ref) of every set; ref's last three bits are the band. A task says each set once."""
+    A row's own has doc (key, text_hash, n: shingles) and ref, the name of its set, null without shingles; sig only
+    deals it out. A signature's has no doc; ref's last three bits are the band. A task says the signatures of each set once.
+    """
+    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen = WordHash(), set()
         sigs: list[np.ndarray] = []
         refs: list[np.ndarray] = []
-        waiting = 0
+        waiting, doc_type = 0, None
 
         def out() -> pa.RecordBatch:
             arrays = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (sigs, refs)]
             sigs.clear()
             refs.clear()
-            return pa.RecordBatch.from_arrays(arrays, names=["sig", "ref"])
+            return pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(arrays[0]), doc_type)], names=["sig", "ref", "doc"])
 
         for batch in batches:
-            for value in batch.column(0):
+            sizes, names = [], []
+            for value in batch.column(2):
                 h = shingles(value.as_py(), cache)
-                if not len(h):
-                    continue
-                ref = _digest(h)
-                if ref in seen:
+                sizes.append(len(h))
+                names.append(ref := _digest(h) if len(h) else None)
+                if ref is None or ref in seen:
                     continue
                 if len(seen) >= SEEN_SETS:
                     seen.clear()
@@ -172,20 +158,40 @@ def signature_rows(docs: DataFrame, text: str) -> DataFrame:
                     sigs.append(s.view(np.int64))
                     refs.append(np.full(len(s), ref + level))
                     waiting += len(s)
-                if waiting > 500_000:
-                    yield out()
-                    waiting = 0
-        yield out()
+            doc = pa.StructArray.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], ["key", "text_hash", "n"])
+            doc_type = doc.type
+            yield pa.RecordBatch.from_arrays([pa.array(np.random.default_rng(len(batch)).integers(0, 2**62, len(batch))), pa.array(names, pa.int64()), doc], names=["sig", "ref", "doc"])
+            if waiting > 500_000:
+                yield out()
+                waiting = 0
+        if waiting:
+            yield out()
 
-    return docs.select(text).mapInArrow(run, "sig long, ref long")
+    rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text))
+    return rows.mapInArrow(run, f"sig long, ref long, doc struct<key: {kind}, text_hash: bigint, n: bigint>")
 
 
 def shared_only(rows: DataFrame) -> DataFrame:
-    """The distinct (sig, ref) whose sig has two or more refs. Rows stream through sorted; one is held back."""
+    """The distinct (sig, ref) whose sig has two or more refs. Rows stream through sorted; one is held back.
+
+    Rows with a third column that is not null pass as they are.
+    """
+    extra = rows.columns[2:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_sig, held_ref, held_shared = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+        nothing = [pa.int8()] * len(extra)
+
+        def out(sig: np.ndarray, ref: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(ref), *[pa.nulls(len(sig), t) for t in nothing]], names=["sig", "ref", *extra])
+
         for batch in batches:
+            if extra:
+                nothing = [batch.column(2).type]
+                passing = batch.column(2).is_valid()
+                if passing.true_count:
+                    yield batch.filter(passing)
+                    batch = batch.filter(batch.column(2).is_null())
             sig = np.concatenate([held_sig, batch.column(0).to_numpy(zero_copy_only=False)])
             ref = np.concatenate([held_ref, batch.column(1).to_numpy(zero_copy_only=False)])
             new = np.r_[True, (sig[1:] != sig[:-1]) | (ref[1:] != ref[:-1])][: len(sig)]
@@ -194,12 +200,12 @@ def shared_only(rows: DataFrame) -> DataFrame:
                 continue
             same = sig[1:] == sig[:-1]
             shared = np.r_[held_shared, same] | np.r_[same, False]
-            yield pa.RecordBatch.from_arrays([pa.array(sig[:-1][shared[:-1]]), pa.array(ref[:-1][shared[:-1]])], names=["sig", "ref"])
+            yield out(sig[:-1][shared[:-1]], ref[:-1][shared[:-1]])
             held_sig, held_ref, held_shared = sig[-1:], ref[-1:], bool(shared[-1])
         if held_shared:
-            yield pa.RecordBatch.from_arrays([pa.array(held_sig), pa.array(held_ref)], names=["sig", "ref"])
+            yield out(held_sig, held_ref)
 
-    return rows.repartition("sig").sortWithinPartitions("sig", "ref").mapInArrow(run, "sig long, ref long")
+    return rows.repartition("sig").sortWithinPartitions("sig", "ref").mapInArrow(run, rows.schema)
 
 
 def candidates(shared: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -210,13 +216,12 @@ def candidates(shared: DataFrame, sizes: DataFrame) -> DataFrame:
     return held.select("set", "n", "text_hash").distinct()
 
 
-def candidate_groups(sets: DataFrame) -> DataFrame:
-    """Groups among which all links are: (sig, ref, n, shared, rank, size); rank 0 for the most central member.
+def clusters(sets: DataFrame) -> DataFrame:
+    """(node, component): sets among which all links are, and the name of their cluster; sets that can have no link are left out.
 
     Signatures are now single shingles, those of the candidates. A linked set shares 75 of 100 of its
     shingles; sets that share fewer with all others together go. Of the others each keeps its rarest
-    shared ones, all but 75 of 100 and one more, so that linked sets still meet in one. Groups with
-    the same members are one.
+    shared ones, all but 75 of 100 and one more, so that linked sets still meet in one. Sets that meet are one cluster.
     """
     single = sets.select(F.explode("hashes").alias("sig"), "ref")
     shared = written(shared_only(single), "shared-shingles")
@@ -226,20 +231,12 @@ def candidate_groups(sets: DataFrame) -> DataFrame:
     rows = skew_join(shared, held, ["ref"])
     popular = rows.groupBy("sig").agg(F.count("*").alias("popular")).filter("popular > 1")
     rows = skew_join(rows, popular, ["sig"])
-    all_of = Window.partitionBy("ref")
-    rows = rows.withColumns({
-        "left": F.count("*").over(all_of), "central": F.sum("popular").over(all_of),
-        "place": F.row_number().over(all_of.orderBy("popular", "sig")),
-    })
-    rows = rows.filter("place <= left - need + 1")
-    rows = rows.select("sig", F.col("ref").alias("set"), "n", F.col("left").alias("shared"), (F.col("central") / F.col("n")).alias("central"))
-    rows = written(rows, "signatures")
-    marks = [F.bit_xor(F.xxhash64(F.lit(i), "set")).alias(f"x{i}") for i in (0, 1)]
-    alike = rows.groupBy("sig").agg(F.count("*").alias("size"), *marks)
-    alike = alike.filter("size > 1").groupBy("size", "x0", "x1").agg(F.min("sig").alias("sig")).select("sig", "size")
-    rows = skew_join(rows, alike, ["sig"])
-    rank = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("central"), "set")) - 1
-    return rows.select("sig", F.col("set").alias("ref"), F.col("n").cast("long").alias("n"), "shared", rank.alias("rank"), "size")
+    all_of = Window.partitionBy("ref")  # of one set: as many rows as it has shingles
+    rows = rows.withColumns({"left": F.count("*").over(all_of), "place": F.row_number().over(all_of.orderBy("popular", "sig"))})
+    rows = written(rows.filter("place <= left - need + 1").select("sig", "ref"), "prefixes")
+    lows = rows.groupBy("sig").agg(F.min("ref").alias("low"))
+    met = skew_join(rows, lows, ["sig"]).filter("ref != low").select(F.col("ref").alias("a"), F.col("low").alias("b")).distinct()
+    return components(met)
 
 
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -270,102 +267,44 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return found.join(F.broadcast(refs) if few else refs, "ref", "left_semi")
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with their exact number of common shingles."""
-    pairs = written(pairs, "pairs")
-
-    def used(side: str) -> DataFrame:  # only these sets are shuffled
-        mine = pairs.select(F.col(side).alias("ref")).distinct()
-        return sets.join(mine, "ref", "left_semi").select(F.col("ref").alias(side), F.col("hashes").alias(f"h{side}"))
+def connecting_links(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(key, text_hash, n_shingles, ref) of all rows, ref naming the set, and what was found among different sets: (ref, linked, other).
 
-    both = skew_join(skew_join(pairs, used("a"), ["a"]), used("b"), ["b"])
-    return both.withColumn("common", F.size(F.array_intersect("ha", "hb"))).drop("ha", "hb")
-
-
-def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``connecting_links`` without the shingles."""
-    return connecting_links(docs, key, text)[:2]
-
-
-def connecting_links(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sets of all rows, links between different sets that connect all that are connected, and the shingles of those.
-
-    Returns ``set_sizes``, (a, b) and (ref, hashes): two sets are in one component of (a, b) exactly if a
-    chain of links of similarity 0.75 or more joins them. Not all links are among them, and some of them
-    are no links but join a set with its component; ``linked_copies`` counts the links themselves.
+    A row without ``other``: the set has links of similarity 0.75 or more with other sets that have ``linked`` copies in
+    all, within two blocks. A row with it: a link; these links connect all sets that a chain of links joins.
 
     PartEnum signatures say which sets can have links at all (``candidates``), and those sets' rarest
-    shared shingles which of them can link (``candidate_groups``). Every group is first compared with its most central member. While a
-    group holds several components, its next members are compared with those after them, sixteen
-    times as many members in each round, but never inside a component nor where counts rule a link
-    out: two sets have in common at most the smaller of what each has in common with the first member,
-    and the smaller of what each shares with any set beyond that. A group of near copies so takes
-    about one comparison per member, and no pair is skipped that could add a link.
+    shared shingles which of them can link (``clusters``). A cluster is cut into blocks of ``BLOCK_SETS`` by size, and
+    each two blocks whose sizes allow a link are compared in one place, all their pairs exactly. So a set travels once
+    for each such block, not for each pair or shared signature, pairs are never rows, and none is compared twice.
     """
-    sizes = written(set_sizes(docs, key, text), "sets")
+    rows = written(shared_only(set_rows(docs, key, text)), "shared")
+    sizes = rows.filter("doc is not null").select("doc.key", "doc.text_hash", F.col("doc.n").alias("n_shingles"), "ref")
+    shared = rows.filter("doc is null").select("sig", "ref")
     classes = sizes.filter("ref is not null").groupBy(F.col("ref").alias("set")).agg(
-        F.first("n_shingles").alias("n"), F.min("text_hash").alias("text_hash")
+        F.first("n_shingles").alias("n"), F.min("text_hash").alias("text_hash"), F.count("*").alias("copies")
     )
-    shared = written(shared_only(signature_rows(docs, text)), "shared")
+    classes = written(classes, "classes")
     found = written(candidates(shared, classes), "candidates")
     sets = written(sets_of(docs, text, found), "hashes")
-    groups = written(candidate_groups(sets), "groups")
-
-    linked = F.col("common") * HIGH >= (F.col("na") + F.col("nb") - F.col("common")) * LOW
-    first = groups.filter("rank = 0").select("sig", F.col("ref").alias("b"), F.col("n").alias("nb"))
-    pairs = skew_join(groups.filter("rank > 0").select("sig", F.col("ref").alias("a"), F.col("n").alias("na")), first, ["sig"])
-    checked = written(verify(pairs.select("a", "b", "na", "nb").distinct(), sets), "checked")
-    links = written(checked.filter(linked).select("a", "b"), "links")
-    members = skew_join(groups, first.select("sig", "b"), ["sig"]).withColumn("a", F.col("ref"))
-    members = skew_join(members, checked.select("a", "b", "common"), ["a", "b"], "left")
-    members = members.withColumn("common", F.coalesce(F.col("common").cast("long"), "n"))  # the first member itself
-    members = written(members.select("sig", "ref", "n", "rank", "size", "common", (F.col("shared") - F.col("common")).alias("beyond")), "members")
-
-    done = 1  # members of each group that were compared with all after them
-    while True:
-        named = components(links).withColumnsRenamed({"node": "ref", "component": "name"})
-        now = skew_join(members, named, ["ref"], "left").withColumn("name", F.coalesce("name", "ref"))
-        split = now.groupBy("sig").agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.max("size").alias("size"))
-        split = split.filter((F.col("lo") != F.col("hi")) & (F.col("size") > done)).select("sig")
-        open_groups = written(skew_join(now, split, ["sig"]), "open")
-        if open_groups.isEmpty():
-            return sizes, links, sets
-        upto = 16 * done
-        next_ones = open_groups.filter((F.col("rank") >= done) & (F.col("rank") < upto)).select(
-            "sig", F.col("ref").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rank_b"), F.col("name").alias("name_b"),
-            F.col("common").alias("common_b"), F.col("beyond").alias("beyond_b"),
-        )
-        pairs = skew_join(
-            open_groups.filter(F.col("rank") > done).select("sig", F.col("ref").alias("a"), F.col("n").alias("na"), "rank", "name", "common", "beyond"), next_ones, ["sig"]
-        )
-        most = F.least("common", "common_b") + F.least("beyond", "beyond_b")
-        can = most * HIGH >= (F.col("na") + F.col("nb") - most) * LOW
-        pairs = pairs.filter((F.col("rank") > F.col("rank_b")) & (F.col("name") != F.col("name_b")) & can)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
-        stars = named.select(F.col("ref").alias("a"), F.col("name").alias("b")).filter("a != b")
-        links = written(stars.unionByName(verify(pairs, sets).filter(linked).select("a", "b")), "links")
-        done = upto
-
-
-def linked_copies(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(ref, linked): the copies of all other sets that a set has a link with, every one verified; sets without are left out.
-
-    ``members`` (ref, n, name, copies) are the sets in components of several. Links lie inside components. A
-    component is cut into blocks of ``BLOCK_SETS`` by size, and each two of its blocks are compared in one
-    place, so a set travels once per block, not once per pair, and pairs are never rows.
-    """
-    place = F.row_number().over(Window.partitionBy("name").orderBy("n", "ref")) - 1
-    placed = written(members.withColumn("block", F.floor(place / BLOCK_SETS).cast("int")), "members")
-    last = placed.groupBy("name").agg(F.max("block").alias("last"))
-    rows = skew_join(placed, last, ["name"]).withColumn("beside", F.explode(F.sequence(F.lit(0), "last")))
-    rows = rows.select("ref", "name", "copies", "block", F.least("block", "beside").alias("lo"), F.greatest("block", "beside").alias("hi"))
-    rows = skew_join(rows, sets, ["ref"])
-    found = rows.groupBy("name", "lo", "hi").applyInArrow(_linked_in_blocks, "ref long, linked long")
-    return found.groupBy("ref").agg(F.sum("linked").alias("linked"))
+    named = clusters(sets).select(F.col("node").alias("ref"), F.col("component").alias("name"))
+    members = skew_join(named, classes.select(F.col("set").alias("ref"), "n", "copies"), ["ref"])
+    folder = f"{shared_folder(docs.sparkSession)}/ordered-{uuid4().hex}"
+    ordered = number_rows(members, ["name", "n", "ref"], folder)  # places in a cluster without a task for each
+    starts = ordered.groupBy("name").agg(F.min("rownum").alias("first"))
+    block = F.floor((F.col("rownum") - F.col("first")) / BLOCK_SETS).cast("int")
+    placed = written(skew_join(ordered, starts, ["name"]).select("ref", "name", "copies", "n", block.alias("block")), "members")
+    blocks = placed.groupBy("name", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    upper = blocks.select("name", F.col("block").alias("hi"), F.col("least").alias("hi_least"))
+    both = skew_join(blocks, upper, ["name"]).filter((F.col("block") <= F.col("hi")) & (F.col("hi_least") * LOW <= F.col("most") * HIGH))
+    both = both.select("name", F.col("block").alias("lo"), "hi", F.explode(F.array_distinct(F.array("block", "hi"))).alias("block"))
+    rows = skew_join(skew_join(placed, both, ["name", "block"]), sets, ["ref"])
+    compared = rows.groupBy("name", "lo", "hi").applyInArrow(_linked_in_blocks, "ref long, linked long, other long")
+    return sizes, written(compared, "compared")
 
 
 def _linked_in_blocks(table: pa.Table) -> pa.Table:
-    """The links between the sets of two blocks, or of one, each credited to both ends with the other's copies."""
+    """The links between the sets of two blocks, or of one, each credited to both ends with the other's copies, and links that connect them."""
     table = table.combine_chunks()
     refs, copies, block = (table.column(c).to_numpy() for c in ("ref", "copies", "block"))
     hashes = table.column("hashes").combine_chunks()
@@ -374,6 +313,8 @@ def _linked_in_blocks(table: pa.Table) -> pa.Table:
     starts = np.r_[0, np.cumsum(n)[:-1]].astype(np.int64)
     has = np.zeros(ids.max() + 1, np.int64)
     linked = np.zeros(len(refs), np.int64)
+    name = np.arange(len(refs))  # of the part that links connect so far
+    ends: list[tuple[int, int]] = []
     one = block.min() == block.max()
     for i in range(len(refs)):
         mine = ids[starts[i] : starts[i] + n[i]]
@@ -383,8 +324,16 @@ def _linked_in_blocks(table: pa.Table) -> pa.Table:
         near = common * HIGH >= (n[i] + n - common) * LOW
         near &= (np.arange(len(refs)) != i) if one else (block != block[i])
         linked[i] = copies[near].sum()
+        parts, at = np.unique(name[near], return_index=True)
+        for part, j in zip(parts, np.flatnonzero(near)[at]):
+            if part != name[i]:
+                ends.append((refs[i], refs[j]))
+                name[name == part] = name[i]
     some = linked > 0
-    return pa.table({"ref": pa.array(refs[some], pa.int64()), "linked": pa.array(linked[some], pa.int64())})
+    a, b = (np.array(x, np.int64) for x in zip(*ends)) if ends else (np.zeros(0, np.int64),) * 2
+    counts = pa.table({"ref": pa.array(refs[some], pa.int64()), "linked": pa.array(linked[some], pa.int64()), "other": pa.nulls(int(some.sum()), pa.int64())})
+    links = pa.table({"ref": pa.array(a), "linked": pa.nulls(len(a), pa.int64()), "other": pa.array(b)})
+    return pa.concat_tables([counts, links])
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", count_links: bool = False) -> DataFrame:
@@ -398,20 +347,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     component has null keys get null. No rows in, no rows out. Only ``key`` and ``text`` are read.
 
     With ``count_links`` also n_links: the other rows that a row has a link of similarity 0.75 or more with. A
-    set links its own copies and counts a linked set by its copies. Every pair of different sets of a component is verified.
+    set links its own copies and counts a linked set by its copies.
     """
-    sizes, links, sets = connecting_links(docs, key, text)
-    named = components(links)
-    if count_links:
-        named = written(named, "named")
+    sizes, compared = connecting_links(docs, key, text)
+    named = components(compared.filter("other is not null").select(F.col("ref").alias("a"), F.col("other").alias("b")))
     own = sizes.filter("ref is not null").groupBy("ref").agg(F.min("key").alias("low"))
     own = own.join(named, F.col("ref") == F.col("node"), "left").withColumn("name", F.coalesce("component", "ref"))
     lowest = own.groupBy("name").agg(F.min("low").alias("component_id"))
     of_set = skew_join(own.select("ref", "name"), lowest, ["name"]).select("ref", "name", "component_id")
     if count_links:
-        copies = sizes.filter("ref is not null").groupBy("ref").agg(F.count("*").alias("copies"), F.first("n_shingles").alias("n"))
-        members = skew_join(copies, named.select(F.col("node").alias("ref"), F.col("component").alias("name")), ["ref"])
-        of_set = skew_join(skew_join(of_set, copies.drop("n"), ["ref"]), linked_copies(members, sets), ["ref"], "left")
+        copies = sizes.filter("ref is not null").groupBy("ref").agg(F.count("*").alias("copies"))
+        linked = compared.filter("other is null").groupBy("ref").agg(F.sum("linked").alias("linked"))
+        of_set = skew_join(skew_join(of_set, copies, ["ref"]), linked, ["ref"], "left")
         of_set = of_set.withColumn("links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).drop("copies", "linked")
     out = skew_join(sizes, of_set, ["ref"], "left")
     component = F.when(F.col("ref").isNull(), F.col("key")).otherwise(F.col("component_id"))
