@@ -90,6 +90,14 @@ def cell_rows(classes: DataFrame, threshold: float, block_dims: int, grid_dims:
     return classes.select("ref", F.xxhash64("label"), "vector").mapInArrow(run, f"cell long, ref long, {fields}")
 
 
+def scaled(vector: str) -> Column:
+    """The vector times a power of two, its largest component near 1: the cosine is the same to the last bit, and nothing overflows or vanishes."""
+    doubles = F.transform(vector, lambda x: x.cast("double"))
+    power = -F.floor(F.log2(F.array_max(F.transform(doubles, F.abs)))).cast("int")
+    first = F.floor(power / 2)  # in two steps, since one factor may lie beyond the doubles
+    return F.transform(doubles, lambda x: x * F.pow(F.lit(2.0), first) * F.pow(F.lit(2.0), power - first))
+
+
 def cosine(a: str, b: str) -> Column:
     """In double precision."""
     def dot(x: str, y: str) -> Column:
@@ -129,7 +137,8 @@ def near_duplicates(
     share = F.lit((2 * (1 - threshold) + 2 * SLACK) * _largest_share(classes, block_dims))
     met = asks.join(homes.withColumnRenamed("cell", "at"), (F.col("cell") == F.col("at")) & (F.col("other") < F.col("ref")) & (apart <= share))
     pairs = met.select(F.col("ref").alias("a"), F.col("other").alias("b")).distinct()
-    sides = {s: classes.select(F.col("ref").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("label", "vector", "copies")]) for s in "ab"}
+    whole = classes.withColumn("vector", scaled("vector"))
+    sides = {s: whole.select(F.col("ref").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("label", "vector", "copies")]) for s in "ab"}
     both = skew_join(skew_join(pairs, sides["a"], ["a"]), sides["b"], ["b"])
     both = both.filter((F.col("label_a") == F.col("label_b")) & (F.size("vector_a") == F.size("vector_b")))
     links = written(both.filter(cosine("vector_a", "vector_b") >= threshold).select("a", "b", "copies_a", "copies_b"), "vector-links")

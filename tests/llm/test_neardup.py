@@ -66,3 +66,22 @@ def test_null_and_repeated_keys_and_empty(spark):
     out = neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(map(str, map(tuple, out))) == sorted(map(str, [(None, 2, 5, False), (5, 2, 5, True), (5, 2, 5, True), (None, 0, None, True)]))
     assert found(spark.createDataFrame([], SCHEMA)) == []
+
+
+def test_huge_and_tiny_double_vectors(spark):
+    """Their squares lie beyond the doubles; the cosine does not."""
+    rng = np.random.default_rng(9)
+    rows, want = [], {}
+    for scale in (1e200, 1e-200, 1e300, 1e-310, 1.0):
+        for far in (0.97, 0.985):
+            for _ in range(10):
+                a, b = rng.standard_normal(16), rng.standard_normal(16)
+                a /= np.linalg.norm(a)
+                b -= (a @ b) * a
+                b /= np.linalg.norm(b)
+                key = len(rows)
+                label = key  # pairs are apart
+                rows += [(key, (a * scale).tolist(), label), (key + 1, ((far * a + np.sqrt(1 - far * far) * b) * scale * 0.5).tolist(), label)]
+                want[key] = want[key + 1] = int(far > 0.98)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r["vec_id"]: r["n_links"] for r in neardup.near_duplicates(df).collect()} == want
