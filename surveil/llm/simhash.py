@@ -124,7 +124,8 @@ def search(all_rows: DataFrame, queries: DataFrame, radius: int = 3, flips: int
     held = all_rows.groupBy("high", "low").agg(F.count("*").alias("n"))
     asked = queries.select("high", "low").distinct()
     asked_slots = slots(asked, radius, flips, asked=True).withColumnsRenamed({"high": "q_high", "low": "q_low"})
-    near = skew_join(slots(held, radius, flips, asked=False), asked_slots, ["slot"])
+    # Spark cannot tell how many rows the explodes make and would broadcast them by a far too small estimate
+    near = skew_join(slots(held, radius, flips, asked=False), asked_slots.hint("merge"), ["slot"])
     near = near.filter(distance(("high", "low"), ("q_high", "q_low")) <= radius)
     first = F.coalesce(*[
         F.when(F.bit_count(_block("high", "low", i, bits).bitwiseXOR(_block("q_high", "q_low", i, bits))) <= most, F.lit(i)) for i in range(BITS // bits)
