@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from surveil.llm.shared import written
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000  # in either generation
 CHUNK_TEXTS = 2000
 LINE_PARTS = 256
 BEYOND_LATIN = "\u0250"
@@ -47,11 +47,13 @@ class WordIds:
         lowers = '"Lowercase"' in json.dumps(config.get("normalizer"))
         self.pattern = regex.compile(patterns[0]) if len(patterns) == 1 and suffix and lowers else None
         self.special = [t["content"] for t in config.get("added_tokens", [])]
+        self.special_lower = [s.lower() for s in self.special]
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # words as they were when there were too many; those met again come back
         self.parts: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str] | None:
@@ -59,9 +61,9 @@ class WordIds:
         if self.pattern is None:
             return None if any(s in text for s in self.special) else text.replace("\n", " ").split(" ")
         lower = text.lower()
-        if "\u03a3" in text or not (is_normalized("NFC", text) and is_normalized("NFC", lower)):
+        if not text.isascii() and ("\u03a3" in text or not (is_normalized("NFC", text) and is_normalized("NFC", lower))):
             return None  # here lower case depends on neighbours, or the order of the steps matters
-        if any(s.lower() in lower for s in self.special):
+        if any(s in lower for s in self.special_lower):
             return None  # the tokenizer looks for these in the text as it is
         return lower.replace("\n", " ").split(" ")
 
@@ -93,12 +95,15 @@ class WordIds:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The texts' ids as little-endian bytes."""
         if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+            self.words, self.older = {}, self.words
+        if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
         split = [self.split(t) for t in texts]
         new = {w for words in split if words is not None for w in words if w not in self.words}
-        if new:
-            self.learn(list(new))
+        again = new & self.older.keys()
+        self.words.update((w, self.older[w]) for w in again)
+        if len(new) > len(again):
+            self.learn(list(new - again))
         ids = self.words.__getitem__
         return [
             b"".join(map(ids, words)) if words is not None

@@ -21,6 +21,18 @@ def test_ids_are_the_tokenizers():
         assert got == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_words_are_forgotten_and_come_back(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 7)
+    rng = random.Random(4)
+    vocabulary = [f"{rng.choice(['word', 'Été', 'x.', 'don', '東'])}{rng.randrange(30)}" for _ in range(60)]
+    words, plain = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    for _ in range(40):
+        texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(6))) for _ in range(3)] + [rng.choice(ODD)]
+        for got, text in zip(words.encode(texts), texts):
+            assert got == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert len(words.words) < 60 and words.older
+
+
 def check(rows, texts, seq_len):
     plain = Tokenizer.from_file(PATH)
     bins = {}
