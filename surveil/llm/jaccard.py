@@ -17,8 +17,8 @@ from surveil.operators.ordering import number_rows
 
 SHINGLE = 5
 LOW, HIGH = 75, 100  # the least similarity as a fraction
-CACHE_WORDS = 500_000
-SEEN_SETS = 1_000_000
+CACHE_WORDS = 200_000
+SEEN_SETS = 250_000
 FIRST_BAND, BAND_RATIO, PARTS_PER_ROW = 64, 8, 8
 EXTRA = 0.15  # signatures beyond the least number, as a share of the set's size
 BROADCAST_ROWS = 500_000  # of 8 bytes

@@ -13,8 +13,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 UNIT_BYTES = 32  # the network runs over words; longer ones are cut
-CACHE_WORDS = 400_000
-CHUNK_WORDS = 1_000_000  # words of documents that are looked up together
+CACHE_WORDS = 250_000
+CHUNK_WORDS = 300_000  # words of documents that are looked up together
 EVAL_UNITS = 8192
 UNKNOWN = "und"
 
