@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from surveil.llm import jaccard, langid, mixing, packing
 from surveil.llm.queries import QUERIES, WORD_BPE, table
@@ -11,16 +12,24 @@ from surveil.llm.shared import free_name, written
 from surveil.operators.joins import skew_join
 
 
+TARGETS = ("de", "en", "es", "fr")  # languages that the corpus is to hold
+MIN_SCORE = 0.5  # of the predicted language
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the operator rejects: texts that have no language (null, empty or without a letter).
+    """Keeps documents whose predicted language is one of ``TARGETS`` with a score of ``MIN_SCORE`` or more.
 
-    Learned from labelled documents of ``docs``; a prediction replaces neither lang nor any other column.
-    Without a labelled one to learn from, only texts without a letter are rejected.
+    So go: texts that the network takes for another label that it has learned, or for none with any certainty, and texts
+    that have no language (null, empty or without a letter). Learned from labelled documents of ``docs``; a prediction
+    replaces neither lang nor any other column. Without a labelled one to learn from, only texts without a letter are rejected.
     """
     labels, model = langid.fit(docs)
     if model is None:
         return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return langid.predict(docs, labels, model).filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    aside = {c: free_name(docs, f"{c}_of_input") for c in docs.columns if c.lower() in ("lang_pred", "score")}
+    found = langid.predict(docs.withColumnsRenamed(aside), labels, model)
+    found = found.filter(F.col("lang_pred").isin(*TARGETS) & (F.col("score") >= MIN_SCORE))
+    return found.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,18 +37,20 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without words are in no group and all stay.
     """
-    groups = jaccard.jaccard_components(docs.select("doc_id", "text")).withColumnRenamed("text_hash", "__hash")
+    at, n = free_name(docs, "hash"), free_name(docs, "rows")
+    groups = jaccard.jaccard_components(docs.select("doc_id", "text")).withColumnRenamed("text_hash", at)
     chosen = groups.filter("component is not null").groupBy("component").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__hash")).alias("first")
-    ).select("first.doc_id", "first.__hash")
-    rows = groups.groupBy("doc_id", "__hash").agg(F.count("*").alias("__rows"))
-    wordless = groups.filter("component is null").select("doc_id", "__hash", F.lit(1).cast("long").alias("__rows")).distinct()
-    keep = written(skew_join(rows, chosen, ["doc_id", "__hash"]).unionByName(wordless), "keep")
-    own = docs.withColumn("__hash", F.xxhash64("text"))
-    once = skew_join(own, keep.filter("__rows = 1"), ["doc_id", "__hash"]).select(*docs.columns)
-    often = skew_join(own, keep.filter("__rows > 1"), ["doc_id", "__hash"])
-    least = F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    often = often.groupBy("doc_id", "__hash").agg(F.min(least).alias("row")).select("doc_id", "row.*").select(*docs.columns)
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", at)).alias("first")
+    ).select("first.doc_id", f"first.{at}")
+    rows = groups.groupBy("doc_id", at).agg(F.count("*").alias(n))
+    wordless = groups.filter("component is null").select("doc_id", at, F.lit(1).cast("long").alias(n)).distinct()
+    keep = written(skew_join(rows, chosen, ["doc_id", at]).unionByName(wordless), "keep")
+    own = docs.withColumn(at, F.xxhash64("text"))
+    once = skew_join(own, keep.filter(F.col(n) == 1), ["doc_id", at]).select(*docs.columns)
+    often = skew_join(own, keep.filter(F.col(n) > 1), ["doc_id", at])
+    order = [F.to_json(c) if isinstance(docs.schema[c].dataType, MapType) else F.col(c) for c in docs.columns]  # maps have no order of their own
+    least = F.min_by(F.struct(*docs.columns), F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)]))
+    often = often.groupBy("doc_id", at).agg(least.alias("row")).select("row.*")
     return once.unionByName(often)
 
 
