@@ -52,3 +52,24 @@ def test_no_task_sees_all_rows(spark, numbers, tmp_path):
     out = number_rows(df, ["v", "id"], str(tmp_path / "t"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
+
+
+def test_a_sorted_report_reads_in_order_file_by_file(spark, tmp_path):
+    from datetime import date
+
+    from surveil.operators.reshape import sort_report
+    from surveil.sources import writers
+
+    rng = random.Random(5)
+    data = [(i, rng.choice("abcde"), rng.randrange(100)) for i in range(4000)]
+    df = spark.createDataFrame(data, "id int, facility string, week int").repartition(6)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files even of so few rows
+    try:
+        writers.write_report(sort_report(df, "facility", F.desc("week"), "id"), str(tmp_path), date(2024, 3, 31), "csv")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = sorted(glob.glob(str(tmp_path / "as_of=2024-03-31" / "*.csv")))
+    assert len(files) > 3
+    rows = [line.replace('"', "").split(",") for f in files for line in open(f).read().splitlines()[1:]]
+    assert [int(r[0]) for r in rows] == [r[0] for r in sorted(data, key=lambda r: (r[1], -r[2], r[0]))]
