@@ -7,6 +7,7 @@ import os
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -112,6 +113,12 @@ class WordIds:
         ]
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One for all tasks that a worker process runs: words met in one are known in the next, up to the bounds above."""
+    return WordIds(path)
+
+
 def tokenize(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 0, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, with ``keep_ids``, ids (little-endian 32-bit).
 
@@ -125,7 +132,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         for batch in batches:
             schema = pa.schema([
                 ("doc_id", batch.schema.field(0).type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
