@@ -23,6 +23,14 @@ def _bin(day: Column, level: Column) -> Column:
     return F.call_function("shiftright", F.unix_date(day), level)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of few bytes whose rows meet many others, in as many tasks as a shuffle has.
+
+    Left to their size, one file or one merged partition of it would meet everything in one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def period_join(
     df: DataFrame, periods: DataFrame, day: str, start: str = "start", end: str = "end", by: Sequence[str] = (), how: str = "inner"
 ) -> DataFrame:
@@ -43,7 +51,7 @@ def period_join(
     periods = periods.filter(F.col(start) <= F.col(end)).withColumn(LEVEL, _level(F.datediff(end, start) + 1))
     levels = [r[0] for r in periods.select(LEVEL).distinct().orderBy(LEVEL).collect()]  # at most 26 numbers
     ends = F.array_distinct(F.array(_bin(F.col(start), F.col(LEVEL)), _bin(F.col(end), F.col(LEVEL))))
-    binned = periods.withColumn(BIN, F.explode(ends))
+    binned = spread(periods).withColumn(BIN, F.explode(ends))
     if not levels:
         levels = [0]
     keys = [*by, LEVEL, BIN]
@@ -57,7 +65,7 @@ def period_join(
 def _existing(df: DataFrame, binned: DataFrame, day: str, start: str, end: str, keys: list[str], levels: list[int], how: str) -> DataFrame:
     """Rows whose day some period contains, or none does: the distinct days of each region are matched and joined back."""
     by = keys[:-2]
-    days = df.select(*by, day).filter(F.col(day).isNotNull()).distinct()
+    days = spread(df.select(*by, day).filter(F.col(day).isNotNull()).distinct())
     days = days.withColumn(LEVEL, F.explode(F.array(*map(F.lit, levels)))).withColumn(BIN, _bin(F.col(day), F.col(LEVEL)))
     met = skew_join(days, binned.select(*keys, start, end), keys).filter(F.col(day).between(F.col(start), F.col(end)))
     return skew_join(df, met.select(*by, day).distinct(), [*by, day], how)

@@ -89,6 +89,32 @@ def test_pairs_that_meet_are_not_many_more_than_those_that_match(spark):
     assert met[0] < 5 * n < 9_000_000 / 10
 
 
+def test_cases_of_periods_meet_by_day(spark, tmp_path, monkeypatch):
+    """All cases of a region on one day: each period meets the day once, however many cases it has."""
+    from workload import feed_queries
+
+    customers = [(i, f"c{i}", i % 3, 0.0, "m") for i in range(1, 61)]
+    orders = [(i, i % 60 + 1, "F", 1.0, date(1995, 1, 1), "p") for i in range(1, 3001)]
+    spark.createDataFrame(customers, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    made = spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string")
+    made.withColumn("o_orderdate", F.date_add("o_orderdate", 1900).cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    met, original = [], intervals.period_join
+
+    def counted(*args, **options):
+        out = original(*args, **options)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(intervals, "period_join", counted)
+    out = feed_queries.period_cases(spark, str(tmp_path)).collect()
+    day = date(1995, 1, 1) + timedelta(1900)
+    around = {k: (date(1995, 1, 1) + timedelta(k * 37 % 2400), 700 if k % 50 == 0 else k % 40 - 1) for k in range(1, 61)}
+    hit = {k for k, (s, n) in around.items() if s <= day <= s + timedelta(n)}
+    n = sum(i % 19 != 0 for i, *_ in orders)
+    assert hit and {(r.period_id, r.n, r.first_day, r.last_day) for r in out} == {(k, n, day, day) for k in hit}
+    assert met == [len(hit)]
+
+
 def test_a_hot_region_and_day_are_split(spark):
     before = {k: spark.conf.get(k, None) for k in LOW}
     try:

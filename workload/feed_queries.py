@@ -166,9 +166,13 @@ def dated_cases(spark, sf_dir) -> DataFrame:
 
 @query("period_cases", f"WITH {SQL_PERIODS} SELECT period_id, p.region, count(*) AS n, min(day) AS first_day, max(day) AS last_day FROM dated d JOIN periods p ON {HIT} GROUP BY ALL")
 def period_cases(spark, sf_dir):
-    """Cases within each of many overlapping periods of their region."""
-    met = intervals.period_join(dated_cases(spark, sf_dir), region_periods(spark, sf_dir), "day", by=["region"])
-    return met.groupBy("period_id", "region").agg(aggregates.rows().alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    """Cases within each of many overlapping periods of their region.
+
+    Cases are counted per region and day first, so a period meets its days, which the calendar bounds, and not its cases.
+    """
+    days = aggregates.count_rows(dated_cases(spark, sf_dir), ["region", "day"], "n_day")
+    met = intervals.period_join(intervals.spread(days), region_periods(spark, sf_dir), "day", by=["region"])
+    return met.groupBy("period_id", "region").agg(F.sum("n_day").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
 
 
 @query("cases_outside_periods", f"WITH {SQL_PERIODS} SELECT case_id, region, day FROM dated d WHERE NOT EXISTS (SELECT 1 FROM periods p WHERE {HIT})")
