@@ -40,14 +40,23 @@ def distinct_records(df: DataFrame) -> DataFrame:
     """DISTINCT in which texts are equal by their columns' collations.
 
     Records that are equal this way are one record, which shows the least text of each column, byte
-    for byte, so that the outcome does not depend on the order of the rows. It combines on the map side.
+    for byte, so that the outcome does not depend on the order of the rows.
+
+    Records are shuffled by all their columns before they are combined. Most differ, so combining them where they
+    are read would hold, sort or spill whole wide splits of the input for nothing; copies of a record meet in one task, where
+    they take the room of one. The shuffle holds each text once and is the same whichever columns are used later, so
+    a plan that needs the records twice runs it once. Sorting by a collation is slow: a hash of the other columns leads.
     """
     by_rule = collated_columns(df)
     if not by_rule:
-        return df.distinct()
+        return df.repartition(*[F.col(f"`{c}`") for c in df.columns]).distinct()
     keys = {c: f"__k_{c}" for c in by_rule}
     keyed = df.withColumnsRenamed(keys)
+    together = [F.col(f"`{c}`") for c in keyed.columns]
+    plain = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    lead = [F.xxhash64(*plain).alias("__lead")] if plain else []
     least = [F.min(F.collate(F.col(f"`{keys[c]}`"), EXACT)).alias(c) for c in by_rule]
-    out = keyed.groupBy(*[F.col(f"`{c}`") for c in keyed.columns]).agg(*least)
+    texts = [F.col(f"`{c}`") for c in keys.values()]
+    out = keyed.repartition(*together).groupBy(*lead, *plain, *texts).agg(*least)
     kinds = {f.name: f.dataType.collation for f in df.schema if f.name in keys}
     return out.select(*[F.collate(F.col(f"`{c}`"), kinds[c]).alias(c) if c in keys else F.col(f"`{c}`") for c in df.columns])

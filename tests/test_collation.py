@@ -55,6 +55,14 @@ def test_distinct_records_are_one_per_rule_and_do_not_depend_on_order(spark):
         assert Counter(map(tuple, exact(got).collect())) == Counter([("Ab", "X", 1), ("AB", "x", 2), (None, "X", 1), ("b", None, 1)])
 
 
+@pytest.mark.parametrize("collation", [EXACT, IGNORE_CASE])
+def test_records_are_combined_behind_one_shuffle(spark, collation):
+    """No wide split of the input is held or sorted before the shuffle, which holds each text once."""
+    df = spark.range(100, numPartitions=4).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("n"))
+    plan = distinct_records(collated(df, collation))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" in plan and plan.rindex("Aggregate") < plan.index("Exchange")
+
+
 def test_skew_join_by_collation_keeps_the_texts(spark, rows):
     a = spark.createDataFrame([("Ab", 1, 1), ("aB", 1, 2), ("c", 1, 3), (None, 1, 4), ("ab", 2, 5)], "k string, n int, v int")
     b = spark.createDataFrame([("AB", 1, 10), ("x", 1, 20), (None, 1, 30)], "k string, n int, w int")
