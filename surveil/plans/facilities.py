@@ -74,11 +74,20 @@ def weekly_rows(feeds: DataFrame) -> DataFrame:
     )
 
 
+def _unnamed() -> Column:
+    """Neither facility nor reporter is known, so a week has as many final names as senders; all others have one."""
+    return F.col("facility_clean").isNull() & F.col("reporting_clean").isNull()
+
+
 def _per_week(names: DataFrame) -> DataFrame:
-    """Sums of the partial sums per facility and week."""
-    sums = [F.sum(c).alias(c) for c in ("n", "n_lag", "sum_lag", "n_date")]
-    squares = F.sum(F.col("sq_lag").cast("decimal(24,0)")).cast("decimal(24,0)").alias("sq_lag")
-    return names.groupBy(*WEEK).agg(*sums, squares, F.max("max_lag").alias("max_lag"), F.max("max_date").alias("max_date"))
+    """Sums of the partial sums per facility and week; a week with one final name has its sums already."""
+    counts = ("n", "n_lag", "sum_lag", "n_date")
+    squares, latest = F.col("sq_lag").cast("decimal(24,0)"), ("max_lag", "max_date")
+    single = names.filter(~_unnamed()).select(*WEEK, *counts, squares.alias("sq_lag"), *latest)
+    several = names.filter(_unnamed()).groupBy(*WEEK).agg(
+        *[F.sum(c).alias(c) for c in counts], F.sum(squares).cast("decimal(24,0)").alias("sq_lag"), *[F.max(c).alias(c) for c in latest]
+    )
+    return single.unionByName(several)
 
 
 def _facility_stats(by_week: WindowSpec, null_mode: str) -> dict[str, Column]:
@@ -148,27 +157,38 @@ def weekly_statistics(
     )
 
 
-def _report_rows(names: DataFrame, weekly: DataFrame) -> DataFrame:
+def _report_rows(shown: DataFrame, weekly: DataFrame) -> DataFrame:
     """The statistics under each final facility name of the week, with its first row."""
-    shown = names.select(*WEEK, "facility_name", "first.*")
     return skew_join(shown, weekly, WEEK).drop("facility_clean").withColumnRenamed("facility_name", "facility_clean")
 
 
+def _shown(names: DataFrame) -> DataFrame:
+    return names.select(*WEEK, "facility_name", "first.*")
+
+
 def facility_aggregate(names: DataFrame, weekly: DataFrame) -> DataFrame:
     """One row per facility, reporter, disease and week, from ``weekly_rows`` and ``weekly_statistics``.
 
     The test and other attributes are those of the week's first row in the order of
     ``TIE_BREAK``. A name that stands in for an unknown facility may meet a real facility
-    of that name; then, too, the first row is kept.
+    of that name; then, too, the first row is kept. It is found on names alone, before the statistics join them.
     """
-    return first_per_key(_report_rows(names, weekly), WEEK, TIE_BREAK).drop("abnormal_lag")
+    keys = ["facility_name", *WEEK[1:]]
+    first = first_per_key(_shown(names), keys, TIE_BREAK)
+    return _report_rows(first, weekly).drop("abnormal_lag")
 
 
 def flagged_facilities(names: DataFrame, weekly: DataFrame) -> DataFrame:
-    """Facilities with a flag: their newest flagged row, once per facility and reporter."""
-    flagged = _report_rows(names, weekly.filter(any_flag(*FLAGS)))
-    order = [F.desc("week_ending"), F.asc("disease"), *TIE_BREAK]
-    return first_per_key(flagged, FACILITY[:2], order).drop("latest_facility_date", "average_lag", "sd_lag")
+    """Facilities with a flag: their newest flagged row, once per facility and reporter.
+
+    Where the facility or the reporter is known, all weeks have one final name, so their newest one is found by numbers and
+    only it meets its names. Without both, senders stand in, and each may have another newest week.
+    """
+    flagged = weekly.filter(any_flag(*FLAGS))
+    newest = [F.desc("week_ending"), F.asc("disease")]
+    one_name = first_per_key(flagged.filter(~_unnamed()), FACILITY[:2], newest)
+    met = _report_rows(_shown(names), one_name.unionByName(flagged.filter(_unnamed())))
+    return first_per_key(met, FACILITY[:2], [*newest, *TIE_BREAK]).drop("latest_facility_date", "average_lag", "sd_lag")
 
 
 def sorted_for_report(df: DataFrame) -> DataFrame:

@@ -338,6 +338,30 @@ def test_feeds_are_read_once(spark, tmp_path):
     assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_first_names_are_found_before_statistics_join(spark, tmp_path):
+    path = str(tmp_path / "names")
+    facilities.weekly_rows(feed(spark, [("f", "r", "s", i, 1, "t") for i in range(20)])).write.parquet(path)
+    names = spark.read.parquet(path)
+    plan = facilities.facility_aggregate(names, facilities.weekly_statistics(names))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("__rn")
+    assert plan.count("Aggregate [facility_clean") == 1 and "isnull(facility_clean" in plan  # only weeks with several names are summed again
+
+
+def test_newest_flagged_week_per_final_name(spark, rows, tmp_path):
+    data = [("on", "r", "s", 0, 1, "t"), (None, None, "s1", 8, 1, "t"), (None, None, "s1", 22, 1, "t"), (None, None, "s2", 15, 1, "t"),
+            (None, "rep", "s3", 9, 1, "t"), (None, "rep", "s4", 20, 1, "t"), ("f", "r", "s", 10, 1, "b"), ("f", "r", "s", 10, 1, "a"), ("f", "r", "s", 30, 1, "t")]
+    path = str(tmp_path / "names")
+    facilities.weekly_rows(feed(spark, data)).write.parquet(path)
+    names = spark.read.parquet(path)
+    out = facilities.flagged_facilities(names, facilities.weekly_statistics(names))
+    week = {d: SATURDAY - timedelta(d // 7 * 7) for d in (8, 9, 10, 15)}
+    assert rows(out, "facility_clean", "reporting_clean", "week_ending", "test") == [
+        ("f", "r", week[10], "a"), ("rep", "rep", week[9], "t"), ("s1", None, week[8], "t"), ("s2", None, week[15], "t"),
+    ]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("__rn") < plan.index("Join") < plan.rindex("__rn")  # ranked on numbers before names join
+
+
 def test_missing_columns_are_an_error(spark):
     labs = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.LAB_COLUMNS[:-1]))
     cases = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.CASE_COLUMNS))
