@@ -56,17 +56,12 @@ def classification_report(
     missing = [c for c in LAB_COLUMNS if c not in labs.columns] + [c for c in CASE_COLUMNS if c not in cases.columns]
     if missing:  # records are distinct over all of these columns, so none may be left out
         raise ValueError(f"missing columns: {missing}")
-    labs = with_indicators(known_labs(labs, period, as_written).select(*LAB_COLUMNS), ci)
+    labs = known_labs(labs, period, as_written).select(*LAB_COLUMNS)
     cases = cases.select(*CASE_COLUMNS)
-    rows = cases_labs_totals(
-        labs,
-        cases,
-        "patient_id",
-        {
-            "total_tests": None,
-            "total_rna": F.col("rna_positive"),
-            "total_ag": F.col("ag_positive"),
-            "total_ab": F.col("ab_positive"),
-        },
-    )
-    return exact(rows.withColumn("classification_qc", covid_classification_qc()))
+    # The indicators follow from the record, so they are not shuffled with it.
+    positive = {f"total_{g.lower()}": covid_positive(g, ci=ci) for g in codes.COVID_TESTS}
+    rows = cases_labs_totals(labs, cases, "patient_id", {"total_tests": None} | positive)
+    judged = with_indicators(rows, ci).withColumn("classification_qc", covid_classification_qc())
+    indicators = [c for c in judged.columns if c not in rows.columns and c != "classification_qc"]
+    facts = [c for c in rows.columns if c not in LAB_COLUMNS]
+    return exact(judged.select(*LAB_COLUMNS, *indicators, *facts, "classification_qc"))

@@ -362,6 +362,15 @@ def test_newest_flagged_week_per_final_name(spark, rows, tmp_path):
     assert plan.index("__rn") < plan.index("Join") < plan.rindex("__rn")  # ranked on numbers before names join
 
 
+def test_indicators_are_not_shuffled_with_the_records(spark):
+    labs = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.LAB_COLUMNS))
+    cases = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.CASE_COLUMNS))
+    out = covid.classification_report(labs, cases)
+    assert out.columns[:len(covid.LAB_COLUMNS)] == list(covid.LAB_COLUMNS) and "rna_positive" in out.columns
+    moved = [line for line in out._jdf.queryExecution().analyzed().toString().splitlines() if "RepartitionByExpression" in line]
+    assert moved and not any("positive" in line or "inconclusive" in line for line in moved)
+
+
 def test_missing_columns_are_an_error(spark):
     labs = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.LAB_COLUMNS[:-1]))
     cases = spark.createDataFrame([], ", ".join(f"{c} string" for c in covid.CASE_COLUMNS))
