@@ -12,6 +12,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,60 +58,79 @@ class WordIds:
         self.older: dict[str, bytes] = {}  # words as they were when there were too many; those met again come back
         self.parts: dict[str, bytes] = {}
 
-    def split(self, text: str) -> list[str] | None:
-        """The text's words, in lower case if that is what the file does first; None if it must be encoded as a whole."""
+    def prepared(self, text: str) -> str | None:
+        """The text with blanks between its words, in lower case if that is what the file does first; None if it must be encoded as a whole."""
         if self.pattern is None:
-            return None if any(s in text for s in self.special) else text.replace("\n", " ").split(" ")
+            return None if any(s in text for s in self.special) else text.replace("\n", " ")
         lower = text.lower()
         if not text.isascii() and ("\u03a3" in text or not (is_normalized("NFC", text) and is_normalized("NFC", lower))):
             return None  # here lower case depends on neighbours, or the order of the steps matters
         if any(s in lower for s in self.special_lower):
             return None  # the tokenizer looks for these in the text as it is
-        return lower.replace("\n", " ").split(" ")
+        return lower.replace("\n", " ")
 
     def learn(self, new: list[str]) -> None:
-        if self.pattern is None:
-            split = [[w] for w in new]
-            plain = []
-        else:
-            latin = max(map(max, filter(None, new)), default="") < BEYOND_LATIN
+        known = self.parts
+        split: dict[str, list[str]] = {}  # a word without an entry is one pre-token
+        plain = set()
+        if self.pattern is not None:
             findall = self.pattern.findall
-            split = [findall(w) if latin or max(w, default="") < BEYOND_LATIN else [w] for w in new]
-            plain = list({p for parts in split for p in parts if p not in self.parts and (latin or max(p) < BEYOND_LATIN)})
-        lines = [plain[i : i + LINE_PARTS] for i in range(0, len(plain), LINE_PARTS)]
+            latin = max(map(max, filter(None, new)), default="") < BEYOND_LATIN
+            for word in new:
+                if latin or max(word, default="") < BEYOND_LATIN:
+                    if word.isalpha():
+                        plain.add(word)
+                    else:
+                        split[word] = parts = findall(word)
+                        plain.update(parts)
+        line_parts = list(plain.difference(known))
+        lines = [line_parts[i : i + LINE_PARTS] for i in range(0, len(line_parts), LINE_PARTS)]
         for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
             ids = np.asarray(found.ids, "<u4")
             cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(cuts) == len(line):
                 raw, at = ids.tobytes(), 0
                 for part, cut in zip(line, cuts):
-                    self.parts[part] = raw[at:cut]
+                    known[part] = raw[at:cut]
                     at = cut
-        rest = list({p for parts in split for p in parts if p not in self.parts})
+        rest = list(plain.union(w for w in new if w not in split).difference(known))
         for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.parts[part] = np.asarray(found.ids, "<u4").tobytes()
-        known = self.parts
-        for word, parts in zip(new, split):
-            self.words[word] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+            known[part] = np.asarray(found.ids, "<u4").tobytes()
+        ids_of = known.__getitem__
+        for word in new:
+            self.words[word] = b"".join(map(ids_of, split[word])) if word in split else known[word]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The texts' ids as little-endian bytes."""
+        """The texts' ids as little-endian bytes.
+
+        Arrow splits the texts, numbers their distinct words and puts the words' ids in the texts' order, so
+        Python looks up each distinct word of ``texts`` once.
+        """
         if len(self.words) > CACHE_WORDS:
             self.words, self.older = {}, self.words
         if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
-        split = [self.split(t) for t in texts]
-        new = {w for words in split if words is not None for w in words if w not in self.words}
-        again = new & self.older.keys()
+        prepared = [self.prepared(t) for t in texts]
+        split = pc.split_pattern(pa.array([t for t in prepared if t is not None], pa.large_string()), " ")
+        numbered = split.flatten().dictionary_encode()
+        own = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in own if w not in self.words]
+        again = [w for w in new if w in self.older]
         self.words.update((w, self.older[w]) for w in again)
         if len(new) > len(again):
-            self.learn(list(new - again))
-        ids = self.words.__getitem__
-        return [
-            b"".join(map(ids, words)) if words is not None
-            else np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            for text, words in zip(texts, split)
-        ]
+            self.learn([w for w in new if w not in self.older])
+        ids = pa.array(list(map(self.words.__getitem__, own)), pa.large_binary()).take(numbered.indices)
+        _, offsets, raw = ids.buffers()
+        at = np.frombuffer(offsets, np.int64)[split.offsets.to_numpy()].tolist() if len(ids) else []
+        raw, spans = memoryview(raw or b""), zip(at, at[1:])
+        out = []
+        for text, words in zip(texts, prepared):
+            if words is None:
+                out.append(np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                start, stop = next(spans)
+                out.append(bytes(raw[start:stop]))
+        return out
 
 
 @lru_cache(maxsize=1)

@@ -33,6 +33,23 @@ def test_words_are_forgotten_and_come_back(monkeypatch):
     assert len(words.words) < 60 and words.older
 
 
+def test_each_distinct_word_is_looked_up_once():
+    class Counted(dict):
+        lookups = 0
+
+        def __getitem__(self, key):
+            Counted.lookups += 1
+            return super().__getitem__(key)
+
+    words, plain = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    words.words = Counted()
+    texts = ["one two three", "two don't one x2 two", "", "one " * 500, "<|endoftext|> one"]
+    for got, text in zip(words.encode(texts), texts):
+        assert got == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert Counted.lookups <= 6  # one, two, three, don't, x2 and nothing, not the 513 words of the texts
+    assert words.encode(["<|endoftext|>"]) == [np.asarray([49407], "<u4").tobytes()] and words.encode([]) == []
+
+
 def check(rows, texts, seq_len):
     plain = Tokenizer.from_file(PATH)
     bins = {}
