@@ -128,6 +128,21 @@ def attach_typing(rows: DataFrame, typed: DataFrame, keys: Sequence[str], column
     return skew_join(rows, listed, keys, "left")
 
 
+def cases_labs_typing(labs: DataFrame, cases: DataFrame, typed: DataFrame, case: Sequence[str], key: str, columns: Sequence[str]) -> DataFrame:
+    """``cases_labs`` with ``attach_typing`` by ``case``: all columns of the lab, those of ``case``, and ``typing``.
+
+    ``labs`` are distinct and ``typed`` are the typed ones among them. A joined record pairs one lab with one case
+    row, so a case has each typing result of its labs once per distinct row of its own. Typing is therefore found from the labs
+    alone and travels with the case row: the wide rows are joined once.
+    """
+    cases = distinct_records(cases.filter(F.col(key).isNotNull()))
+    per_case = cases.groupBy(*case).agg(F.count(F.lit(1)).alias("__m"))
+    facts = attach_typing(per_case, typed.filter(F.col(key).isNotNull()), [key], columns)
+    times = F.transform("typing", lambda t: t.withField("n_typed", t.n_typed * F.col("__m")))
+    records = skew_join(labs, facts.withColumn("typing", times), [key])
+    return records.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__m")))).drop("__i", "__m")
+
+
 def typing_rows(rows: DataFrame, dedupe: bool = True) -> DataFrame:
     """``attach_typing`` as flat rows: one per row and distinct result of its case.
 

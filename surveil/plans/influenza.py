@@ -14,9 +14,9 @@ from surveil.functions.nulls import is_in
 from surveil.functions.text import text_positive
 from surveil.functions.typing import flu_subtype, flu_type, report_category
 from surveil.operators.aggregates import count_rows, month_counts, rows
-from surveil.operators.collation import EXACT, collated, exact
+from surveil.operators.collation import EXACT, collated, distinct_records, exact
 from surveil.operators.joins import (
-    attach_typing, cases_labs, cases_labs_totals, interval_match, member_flag, skew_join,
+    attach_typing, cases_labs, cases_labs_totals, cases_labs_typing, interval_match, member_flag, skew_join,
 )
 from surveil.operators.setops import union_by_name
 from surveil.operators.windows import cumulative_count
@@ -127,6 +127,16 @@ def rows_with_typing(checked: DataFrame, typed_rows: DataFrame) -> DataFrame:
     return attach_typing(checked, typed_rows, CASE, TYPING)
 
 
+def records_with_typing(labs: DataFrame, cases: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``case_records`` with ``rows_with_typing`` of the ``typed`` among them: lab columns, party and typing.
+
+    The rules on typing read the lab alone. ``keep`` writes the distinct labs, which are needed twice, and reads them back.
+    """
+    labs = distinct_records(known_labs(labs).filter(F.col("case_id").isNotNull()))
+    labs = keep(labs) if keep else labs
+    return cases_labs_typing(labs, cases, typed(labs), CASE, "case_id", TYPING)
+
+
 # ---- co-infections -------------------------------------------------------------------
 
 def coinfections_by_date(typed_rows: DataFrame, days: int = 31, as_written: bool = False) -> DataFrame:

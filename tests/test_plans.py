@@ -417,6 +417,37 @@ def test_cases_of_the_season_are_found_once(spark, tmp_path):
     assert records._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey") == 0
 
 
+def test_typing_travels_with_the_case(spark, rows):
+    labs = spark.createDataFrame(
+        [(1, "2001-01-01", "a"), (1, "2001-01-01", "a"), (1, "2001-01-02", "b"), (2, "2001-01-01", "a"), (3, None, None), (None, "2001-01-01", "a"), (9, "2001-01-01", "a")],
+        "case_id long, day string, comments string",
+    )
+    cases = spark.createDataFrame(
+        [(1, 10, "x"), (1, 10, "x"), (1, 10, "y"), (1, 11, "x"), (1, None, "x"), (2, 12, None), (3, 13, "x"), (None, 14, "x")], "case_id long, party_id long, county string"
+    )
+    case, columns = ["party_id", "case_id"], ["kind"]
+
+    def typed(df):
+        return df.filter("comments is not null").withColumn("kind", F.upper("comments"))
+
+    records = joins.cases_labs(labs, cases, "case_id")
+    want = joins.attach_typing(records.drop("county"), typed(records), case, columns)
+    distinct = labs.filter("case_id is not null").distinct()
+    got = joins.cases_labs_typing(distinct, cases, typed(distinct), case, "case_id", columns)
+    cols = ["case_id", "party_id", "day", "comments", F.to_json("typing").alias("typing")]
+    assert rows(got, *cols) == rows(want, *cols) and got.count() == 10
+
+
+def test_typing_join_keeps_labs_without_their_cases(spark, monkeypatch):
+    from workload import bindings, flu_queries
+    from __spark_entry__ import SMOKE_DIR
+
+    kept, keep = [], bindings.kept
+    monkeypatch.setattr(bindings, "kept", lambda s, df, name: kept.append(df.columns) or keep(s, df, name))
+    flu_queries.typing_join(spark, SMOKE_DIR)
+    assert len(kept) == 1 and not {"party_id", "county", "event_date"} & set(kept[0])
+
+
 def test_sorted_report_is_in_order(spark, tmp_path):
     from surveil.sources import writers
 

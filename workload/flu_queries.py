@@ -250,10 +250,7 @@ def report_category_as_written(spark, sf_dir):
 )
 def typing_join(spark, sf_dir):
     """The typing results of a case, rendered as text, on all its records."""
-    records = b.kept(spark, _records(spark, sf_dir), "records")
-    rows = records.select(
-        "party_id", "case_id", "specimen_date", "test", "result", "result_value", "local_description", "comments"
-    )
+    records = flu.records_with_typing(b.flu_labs(spark, sf_dir), b.cases(spark, sf_dir), lambda labs: b.kept(spark, labs, "labs"))
     typing_text = F.transform(
         "typing",
         lambda t: F.concat_ws(
@@ -261,8 +258,10 @@ def typing_join(spark, sf_dir):
             F.coalesce(t.report_category, F.lit("")), t.n_typed.cast("string"),
         ),
     )
-    nested = flu.rows_with_typing(rows, flu.typed(records)).drop("party_id")
-    return nested.withColumn("typing", F.array_join(typing_text, "; "))
+    return records.select(
+        "case_id", "specimen_date", "test", "result", "result_value", "local_description", "comments",
+        F.array_join(typing_text, "; ").alias("typing"),
+    )
 
 
 # ---- typing as flat rows -------------------------------------------------------------
