@@ -19,6 +19,7 @@ SHINGLE = 5
 LOW, HIGH = 75, 100  # the least similarity as a fraction
 CACHE_WORDS = 200_000
 SEEN_SETS = 250_000
+BATCH_VALUES = 100_000  # hashes or signatures that a task hands on at once
 FIRST_BAND, BAND_RATIO, PARTS_PER_ROW = 64, 8, 8
 EXTRA = 0.15  # signatures beyond the least number, as a share of the set's size
 BROADCAST_ROWS = 500_000  # of 8 bytes
@@ -144,6 +145,7 @@ def set_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
         for batch in batches:
             sizes, names = [], []
+            doc_type = pa.struct([("key", batch.schema.field(0).type), ("text_hash", pa.int64()), ("n", pa.int64())])
             for value in batch.column(2):
                 h = shingles(value.as_py(), cache)
                 sizes.append(len(h))
@@ -158,12 +160,11 @@ def set_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
                     sigs.append(s.view(np.int64))
                     refs.append(np.full(len(s), ref + level))
                     waiting += len(s)
+                if waiting >= BATCH_VALUES:
+                    yield out()
+                    waiting = 0
             doc = pa.StructArray.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64())], ["key", "text_hash", "n"])
-            doc_type = doc.type
             yield pa.RecordBatch.from_arrays([pa.array(np.random.default_rng(len(batch)).integers(0, 2**62, len(batch))), pa.array(names, pa.int64()), doc], names=["sig", "ref", "doc"])
-            if waiting > 500_000:
-                yield out()
-                waiting = 0
         if waiting:
             yield out()
 
@@ -244,8 +245,17 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, seen = WordHash(), set()
+        refs: list[int] = []
+        hashes: list[np.ndarray] = []
+        waiting = 0
+
+        def out() -> pa.RecordBatch:
+            found = pa.RecordBatch.from_arrays([pa.array(refs, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["ref", "hashes"])
+            refs.clear()
+            hashes.clear()
+            return found
+
         for batch in batches:
-            refs, hashes = [], []
             for value in batch.column(1):
                 h = shingles(value.as_py(), cache)
                 ref = _digest(h)
@@ -255,7 +265,12 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
                     seen.add(ref)
                     refs.append(ref)
                     hashes.append(h.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(refs, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["ref", "hashes"])
+                    waiting += len(h)
+                if waiting >= BATCH_VALUES:
+                    yield out()
+                    waiting = 0
+        if refs:
+            yield out()
 
     few = wanted.count() <= BROADCAST_ROWS
     names = wanted.select("text_hash")

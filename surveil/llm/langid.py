@@ -14,8 +14,9 @@ from pyspark.sql.window import Window
 
 UNIT_BYTES = 32  # the network runs over words; longer ones are cut
 CACHE_WORDS = 250_000
-CHUNK_WORDS = 300_000  # words of documents that are looked up together
-EVAL_UNITS = 8192
+CHUNK_WORDS = 100_000  # words of documents that are looked up together
+EVAL_UNITS = 2048  # their states are held at all positions
+BATCH_ROWS = 1000  # that a task hands on at once
 UNKNOWN = "und"
 
 
@@ -262,10 +263,12 @@ def predict(docs: DataFrame, labels: list[str], model: BiGru | None, key: str =
                     flush()
                     waiting = 0
             flush()
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
+            for lo in range(0, found.num_rows, BATCH_ROWS):
+                yield found.slice(lo, BATCH_ROWS)
 
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return docs.mapInArrow(run, schema)

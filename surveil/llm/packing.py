@@ -8,6 +8,7 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from unicodedata import is_normalized
 
 import numpy as np
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from surveil.llm.shared import written
 
 CACHE_WORDS = 300_000  # in either generation
+KEPT_WORDS = 50_000  # that a worker keeps after a task
 CHUNK_TEXTS = 2000
 LINE_PARTS = 256
 BEYOND_LATIN = "\u0250"
@@ -132,10 +134,15 @@ class WordIds:
                 out.append(bytes(raw[start:stop]))
         return out
 
+    def rest(self) -> None:
+        """After a task: only the words met first stay, the frequent ones among them; an idle worker holds no more."""
+        self.words, self.older, self.parts = dict(islice(self.words.items(), KEPT_WORDS)), {}, {}
+        pa.default_memory_pool().release_unused()
+
 
 @lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
-    """One for all tasks that a worker process runs: words met in one are known in the next, up to the bounds above."""
+    """One for all tasks that a worker process runs: the words that ``rest`` keeps are known in the next."""
     return WordIds(path)
 
 
@@ -172,6 +179,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:])]], schema=schema
                 )
+        words.rest()
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(pieces, PIECES.format(key=kind))
 

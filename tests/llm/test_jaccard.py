@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,6 +40,30 @@ def edited(rng, words, share):
     return out
 
 
+class Rows:
+    """Stands for documents; keeps what a task would run."""
+
+    def __init__(self, docs):
+        self.schema = docs.schema
+
+    def select(self, *cols):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_tasks_hand_on_small_batches(spark, odd):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(1500)) for _ in range(700)] + [None, ""]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array(texts)], names=["key", "text_hash", "text"])
+    out = list(jaccard.set_rows(Rows(odd), "doc_id", "text")(iter([batch])))
+    assert max(b.num_rows for b in out) < 2 * jaccard.BATCH_VALUES
+    sigs = sum(sum(len(jaccard.signatures(h, k)) for k in jaccard.levels(len(h))) for h in (jaccard.shingles(t, jaccard.WordHash()) for t in texts) if len(h))
+    assert sum(b.num_rows for b in out) == sigs + n and len({str(b.schema) for b in out}) == 1
+
+
 def test_odd_rows(odd, odd_rows):
     assert got(odd) == components_of([r[:2] for r in odd_rows])
 

@@ -50,6 +50,17 @@ def test_each_distinct_word_is_looked_up_once():
     assert words.encode(["<|endoftext|>"]) == [np.asarray([49407], "<u4").tobytes()] and words.encode([]) == []
 
 
+def test_a_worker_at_rest_holds_few_words(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_WORDS", 3)
+    words, plain = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    texts = ["one two three four", "don't one x2 five six"]
+    for _ in range(3):
+        for got, text in zip(words.encode(texts), texts):
+            assert got == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+        words.rest()
+        assert len(words.words) <= 3 and not words.older and not words.parts
+
+
 def check(rows, texts, seq_len):
     plain = Tokenizer.from_file(PATH)
     bins = {}
