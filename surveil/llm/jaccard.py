@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from surveil.llm.shared import components, shared_folder, written
+from surveil.llm.shared import components, frugal, shared_folder, written
 from surveil.operators.joins import skew_join
 from surveil.operators.ordering import number_rows
 
@@ -169,7 +169,7 @@ def set_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
             yield out()
 
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.col(text))
-    return rows.mapInArrow(run, f"sig long, ref long, doc struct<key: {kind}, text_hash: bigint, n: bigint>")
+    return rows.mapInArrow(frugal(run), f"sig long, ref long, doc struct<key: {kind}, text_hash: bigint, n: bigint>")
 
 
 def shared_only(rows: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def shared_only(rows: DataFrame) -> DataFrame:
         if held_shared:
             yield out(held_sig, held_ref)
 
-    return rows.repartition("sig").sortWithinPartitions("sig", "ref").mapInArrow(run, rows.schema)
+    return rows.repartition("sig").sortWithinPartitions("sig", "ref").mapInArrow(frugal(run), rows.schema)
 
 
 def candidates(shared: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     texts = docs.select(F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")).join(
         F.broadcast(names) if few else names, "text_hash", "left_semi"
     )
-    found = texts.mapInArrow(run, "ref long, hashes array<long>").groupBy("ref").agg(F.first("hashes").alias("hashes"))
+    found = texts.mapInArrow(frugal(run), "ref long, hashes array<long>").groupBy("ref").agg(F.first("hashes").alias("hashes"))
     refs = wanted.select(F.col("set").alias("ref"))
     return found.join(F.broadcast(refs) if few else refs, "ref", "left_semi")
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
+from surveil.llm.shared import frugal
+
 UNIT_BYTES = 32  # the network runs over words; longer ones are cut
 CACHE_WORDS = 250_000
 CHUNK_WORDS = 100_000  # words of documents that are looked up together
@@ -271,4 +273,4 @@ def predict(docs: DataFrame, labels: list[str], model: BiGru | None, key: str =
                 yield found.slice(lo, BATCH_ROWS)
 
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)

@@ -18,12 +18,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveil.llm.shared import written
+from surveil.llm.shared import frugal, written
 
 CACHE_WORDS = 300_000  # in either generation
 KEPT_WORDS = 50_000  # that a worker keeps after a task
 CHUNK_TEXTS = 2000
+CHUNK_BYTES = 2_000_000  # of texts that are encoded together
+BATCH_TEXTS = 2000  # that a task gets at once
 LINE_PARTS = 256
+LINES = 32  # encoded together
 BEYOND_LATIN = "\u0250"
 LEAF_ITEMS = 4096  # pieces that a leaf of the tree packs
 FAN_IN = 16  # nodes that meet in the next round
@@ -72,9 +75,8 @@ class WordIds:
         return lower.replace("\n", " ")
 
     def learn(self, new: list[str]) -> None:
-        known = self.parts
         split: dict[str, list[str]] = {}  # a word without an entry is one pre-token
-        plain = set()
+        plain, pieces = set(), set()
         if self.pattern is not None:
             findall = self.pattern.findall
             latin = max(map(max, filter(None, new)), default="") < BEYOND_LATIN
@@ -84,20 +86,27 @@ class WordIds:
                         plain.add(word)
                     else:
                         split[word] = parts = findall(word)
-                        plain.update(parts)
+                        pieces.update(parts)
+        known = {part: self.parts[part] for part in pieces if part in self.parts}
+        known |= {part: self.words[part] for part in pieces if part in self.words and part.isalpha()}
+        plain |= pieces
         line_parts = list(plain.difference(known))
-        lines = [line_parts[i : i + LINE_PARTS] for i in range(0, len(line_parts), LINE_PARTS)]
-        for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
-            ids = np.asarray(found.ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(cuts) == len(line):
-                raw, at = ids.tobytes(), 0
-                for part, cut in zip(line, cuts):
-                    known[part] = raw[at:cut]
-                    at = cut
+        for at in range(0, len(line_parts), LINE_PARTS * LINES):
+            lines = [line_parts[i : i + LINE_PARTS] for i in range(at, min(at + LINE_PARTS * LINES, len(line_parts)), LINE_PARTS)]
+            for line, found in zip(lines, self.tokenizer.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)):
+                ids = np.asarray(found.ids, "<u4")
+                cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+                if len(cuts) == len(line):
+                    raw, start = ids.tobytes(), 0
+                    for part, cut in zip(line, cuts):
+                        known[part] = raw[start:cut]
+                        start = cut
         rest = list(plain.union(w for w in new if w not in split).difference(known))
-        for part, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[part] = np.asarray(found.ids, "<u4").tobytes()
+        for at in range(0, len(rest), LINE_PARTS * LINES):
+            some = rest[at : at + LINE_PARTS * LINES]
+            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[part] = np.asarray(found.ids, "<u4").tobytes()
+        self.parts.update((part, known[part]) for part in pieces if not part.isalpha())
         ids_of = known.__getitem__
         for word in new:
             self.words[word] = b"".join(map(ids_of, split[word])) if word in split else known[word]
@@ -137,7 +146,17 @@ class WordIds:
     def rest(self) -> None:
         """After a task: only the words met first stay, the frequent ones among them; an idle worker holds no more."""
         self.words, self.older, self.parts = dict(islice(self.words.items(), KEPT_WORDS)), {}, {}
-        pa.default_memory_pool().release_unused()
+
+
+def chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and number of the texts that are encoded together: at most ``CHUNK_TEXTS``, and ``CHUNK_BYTES`` unless it is one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(ends):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHUNK_BYTES, "right"))
+        hi = min(max(hi, lo + 1), lo + CHUNK_TEXTS)
+        yield lo, hi - lo
+        lo = hi
 
 
 @lru_cache(maxsize=1)
@@ -165,8 +184,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id:
                 ("doc_id", batch.schema.field(0).type), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                 ("ids_crc32", pa.int64()), ("ids", pa.binary()),
             ])
-            for lo in range(0, batch.num_rows, CHUNK_TEXTS):
-                part = batch.slice(lo, CHUNK_TEXTS)
+            for lo, n in chunks(batch.column(1)):
+                part = batch.slice(lo, n)
                 rows: list[tuple] = []
                 at: list[int] = []
                 for i, encoded in enumerate(words.encode([t or "" for t in part.column(1).to_pylist()])):
@@ -181,7 +200,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id:
                 )
         words.rest()
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(pieces, PIECES.format(key=kind))
+    return docs.select(F.col(key), F.col(text)).mapInArrow(frugal(pieces), PIECES.format(key=kind))
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[int]:
@@ -255,7 +274,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, leaf_items: int = LEAF_ITEMS,
     ``length`` must be from 1 to ``capacity``. Equal and repeated rows are packed one by one. No
     rows in, no rows out. Columns sequence_id, offset and __row must not be there.
     """
-    rows = written(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    rows = written(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces", rows=BATCH_TEXTS)
     n = rows.filter(F.col("length") < capacity).count()
     leaves = -(-n // leaf_items) or 1
     level = rows.filter(F.col("length") < capacity).select(

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -61,6 +62,45 @@ def test_a_worker_at_rest_holds_few_words(monkeypatch):
         assert len(words.words) <= 3 and not words.older and not words.parts
 
 
+def test_pieces_of_words_are_those_of_the_tokenizer():
+    words, plain = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    for texts in (["foo bar été don't"], ["foo, bar. (foo) été; don't! foo-foo foo's"], ["foo, 12 foo12 bar."], ["foo; bar, 12, x² ; --"]):
+        for got, text in zip(words.encode(texts), texts):
+            assert got == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert "foo" not in words.parts  # it is a word
+
+
+def test_few_words_are_encoded_at_once(monkeypatch):
+    monkeypatch.setattr(packing, "LINE_PARTS", 5)
+    monkeypatch.setattr(packing, "LINES", 2, raising=False)
+
+    class Watched:
+        most = 0
+
+        def __init__(self, own):
+            self.own = own
+
+        def encode_batch_fast(self, lines, **options):
+            Watched.most = max(Watched.most, sum(len(x.split()) for x in lines))
+            return self.own.encode_batch_fast(lines, **options)
+
+    words, plain = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    words.tokenizer = Watched(words.tokenizer)
+    text = " ".join(f"{a}{b}{c} 東{a}{b}" for a in "abcd" for b in "efgh" for c in "ijkl")
+    assert words.encode([text]) == [np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert 0 < Watched.most <= 10
+
+
+def test_texts_encoded_together_are_few_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 10)
+    monkeypatch.setattr(packing, "CHUNK_TEXTS", 3)
+    texts = pa.array(["aaaa", "bbbb", "cccc", None, "", "東東東東東東", "d", None, None, None, "e" * 10, "f"])
+    found = list(packing.chunks(texts))
+    assert found == [(0, 2), (2, 3), (5, 1), (6, 3), (9, 2), (11, 1)]
+    assert list(packing.chunks(texts.slice(4))) == [(0, 1), (1, 1), (2, 3), (5, 2), (7, 1)]
+    assert list(packing.chunks(pa.array([], pa.string()))) == []
+
+
 def check(rows, texts, seq_len):
     plain = Tokenizer.from_file(PATH)
     bins = {}
