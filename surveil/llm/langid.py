@@ -17,7 +17,7 @@ from surveil.llm.shared import frugal
 UNIT_BYTES = 32  # the network runs over words; longer ones are cut
 CACHE_WORDS = 250_000
 CHUNK_WORDS = 100_000  # words of documents that are looked up together
-EVAL_UNITS = 2048  # their states are held at all positions
+EVAL_UNITS = 1024  # their states are held at all positions
 BATCH_ROWS = 1000  # that a task hands on at once
 UNKNOWN = "und"
 
